@@ -118,17 +118,28 @@ def word_count(c) -> Column:
     return F.size(whitespace_tokens(c))
 
 
+def _joiner(fields):
+    # a one-argument lambda: Spark passes the element index to two-argument ones
+    return lambda s: F.concat_ws(" ", *[s[f] for f in fields])
+
+
 # N-grams in sklearn's order: all n-grams of the smallest n first, by position.
 def ngrams(tokens, n_min: int = 1, n_max: int = 1) -> Column:
+    """n-grams as ``arrays_zip`` of n shifted slices.
+
+    The token expression is an argument of ``slice`` (evaluated n times per
+    row), never referenced inside a lambda, where Spark would re-evaluate it
+    for every element.
+    """
     t = _c(tokens)
     parts = []
     for n in range(n_min, n_max + 1):
         if n == 1:
             parts.append(t)
             continue
-        grams = F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
-                            lambda i, n=n: F.array_join(F.slice(t, i, n), " "))
-        parts.append(F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>")))
+        length = F.greatest(F.size(t) - F.lit(n - 1), F.lit(0))
+        z = F.arrays_zip(*[F.slice(t, k, length).alias(f"g{k}") for k in range(1, n + 1)])
+        parts.append(F.transform(z, _joiner([f"g{k}" for k in range(1, n + 1)])))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
