@@ -17,20 +17,18 @@ from pyspark.sql import functions as F
 from caliper.functions.columns import AGE_BANDS, BMI_BANDS, abs_error, band
 from caliper.plans.registry import Tables
 
-# Fixed scoring formula (coefficients of the stand-in model).
-SCORE_W = {"l_discount": 4.0, "l_tax": -3.0, "l_quantity": 0.02}
-SCORE_B = -0.5
-
-
 def R(expr: str) -> str:
     """SQL: round a floating expression the way the registry rounds Spark output."""
     return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
 
 
+# Fixed scoring formula of the stand-in model: z = 4*discount - 3*tax + 0.02*quantity - 0.5,
+# computed from integer cents and one division so that both engines get the same
+# z (and the same ties) bit for bit; only exp() may differ in the last place.
 def score_column() -> F.Column:
-    z = F.lit(SCORE_B)
-    for c, w in SCORE_W.items():
-        z = z + F.lit(w) * F.col(c)
+    cents = lambda c: F.round(F.col(c) * 100).cast("int")
+    zi = F.lit(4) * cents("l_discount") - F.lit(3) * cents("l_tax") + F.lit(2) * F.col("l_quantity").cast("int") - F.lit(50)
+    z = zi / F.lit(100.0)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
@@ -40,9 +38,8 @@ def scored_lineitem(t: Tables) -> DataFrame:
                              score_column().alias("score"))
 
 
-# same left-to-right evaluation order as score_column()
-SCORE_SQL = ("1.0 / (1.0 + exp(-(CAST(" + str(SCORE_B) + " AS DOUBLE) + "
-             + " + ".join(f"CAST({w} AS DOUBLE) * {c}" for c, w in SCORE_W.items()) + ")))")
+SCORE_SQL = ("1.0 / (1.0 + exp(-((4 * CAST(round(l_discount * 100) AS INTEGER) - 3 * CAST(round(l_tax * 100) AS INTEGER)"
+             " + 2 * CAST(l_quantity AS INTEGER) - 50) / 100.0)))")
 SCORED_SQL = f"""scored AS (
   SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS INTEGER) AS label, {SCORE_SQL} AS score
   FROM lineitem)"""
