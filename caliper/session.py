@@ -26,12 +26,19 @@ _DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "caliper", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings every operator assumes."""
+                app_name: str = "caliper", extra: dict | None = None,
+                driver_memory: str | None = None) -> SparkSession:
+    """Build (or reuse) a session with the settings every operator assumes.
+
+    ``driver_memory`` only matters in local mode, where the driver JVM is
+    also the only executor (it must be set before the JVM starts).
+    """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(_DEFAULT_CONF)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
