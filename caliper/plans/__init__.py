@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["profile_queries", "text_queries", "eval_queries", "model_queries", "topic_queries"]
+_MODULES = ["profile_queries", "text_queries", "eval_queries", "model_queries", "topic_queries", "job_queries"]
 
 
 def load_all():
