@@ -79,3 +79,83 @@ def stream_scoring(spark, sf):
                            T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
     return score_available(model, spark, sf, schema, F.concat_ws(":", "conv_id", "turn"),
                            file_glob="conversations.parquet")
+
+
+# Sources and sinks: round trips through the shared checkpoint folder ------------------------
+@query("s1_csv_roundtrip", "S1 S5 S7", sql="SELECT * FROM customer")
+def csv_roundtrip(spark, sf):
+    from caliper.session import scratch_path
+    from caliper.sources import io as IO
+    c = Tables(spark, sf).customer
+    p = scratch_path(spark, "customer-csv")
+    IO.write_table(c, p, fmt="csv")
+    back = IO.read_csv(spark, p, schema=c.schema)
+    return IO.require_columns(back, c.columns, "customer csv")
+
+
+@query("s2_tsv_scan", "S2", sql="""
+SELECT role AS label, regexp_replace(text, '[\\t\\n\\r]', ' ', 'g') AS text FROM conversations""")
+def tsv_scan(spark, sf):
+    from caliper.session import scratch_path
+    from caliper.sources import io as IO
+    c = Tables(spark, sf).conversations.select("role", F.regexp_replace("text", "[\\t\\n\\r]", " ").alias("text"))
+    p = scratch_path(spark, "messages-tsv")
+    c.write.mode("overwrite").option("sep", "\t").option("quote", "\u0000").csv(p)
+    return IO.read_labelled_tsv(spark, p)
+
+
+@query("s4_corpus_scan", "S4", sql="SELECT doc_id, source AS category, length(text) AS n FROM documents")
+def corpus_scan(spark, sf):
+    from caliper.sources import io as IO
+    return IO.corpus(spark, sf).select("doc_id", "category", F.length("raw_text").alias("n"))
+
+
+@query("s6_fallback_drop_target", "S6 P2", sql="SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+def fallback_drop_target(spark, sf):
+    from caliper.sources import io as IO
+    paths = [f"{sf}/no_such_customer.parquet", f"{sf}/customer.parquet"]
+    return IO.read_with_fallback(spark, paths, spark.read.parquet, drop=["c_mktsegment", "absent_target"])
+
+
+@query("s8_metrics_json", "S8 E4 E5", sql="""
+SELECT count(*) FILTER (WHERE l_returnflag = 'R') AS positives, count(*) AS n FROM lineitem""")
+def metrics_json(spark, sf):
+    from caliper.session import scratch_path
+    from caliper.sources import io as IO
+    li = Tables(spark, sf).lineitem
+    m = li.agg(F.count_if(F.col("l_returnflag") == "R").alias("positives"), F.count(F.lit(1)).alias("n"))
+    p = scratch_path(spark, "metrics-json")
+    IO.write_metrics_json(m, p)
+    return spark.read.schema(m.schema).json(p)
+
+
+@query("s9_model_roundtrip", "S9 S10 M11")
+def model_roundtrip(spark, sf):
+    from pyspark.ml import Pipeline
+    from caliper.operators import models as M
+    from caliper.operators import split as S
+    from caliper.session import scratch_path
+    from caliper.sources import io as IO
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("label"))
+    d = S.train_test_split(o, "o_orderkey", 0.2, 42)
+    sp = scratch_path(spark, "orders-split")
+    IO.persist_split(d, sp)
+    train, test = IO.read_split(spark, sp, "train"), IO.read_split(spark, sp, "test")
+    model = Pipeline(stages=M.tabular_stages([], ["o_orderstatus"]) + [M.linear_regression()]).fit(train)
+    mp = scratch_path(spark, "orders-model")
+    IO.save_model(model, mp)
+    loaded = IO.load_pipeline_model(mp)
+    a = model.transform(test).select("o_orderkey", F.col("prediction").alias("p1"))
+    b = loaded.transform(test).select("o_orderkey", F.col("prediction").alias("p2"))
+    return a.join(b, "o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_gap"))
+
+
+@query("f1_median_impute", "F1", sql="""
+WITH x AS (SELECT CASE WHEN l_discount = 0 THEN NULL ELSE l_discount END AS d FROM lineitem),
+m AS (SELECT quantile_cont(d, 0.5) AS med FROM x)
+SELECT count(*) FILTER (WHERE d IS NULL) AS n_imputed, round(sum(coalesce(d, med)), 6) + 0.0 AS total FROM x, m""")
+def median_impute(spark, sf):
+    from caliper.operators import models as M
+    x = Tables(spark, sf).lineitem.select(F.when(F.col("l_discount") == 0, F.lit(None)).otherwise(F.col("l_discount")).alias("d"))
+    out = M.MedianImputer(["d"]).fit(x).transform(x)
+    return out.agg(F.count_if(F.col("d").isNull()).alias("n_imputed"), F.sum("d__imp").alias("total"))
