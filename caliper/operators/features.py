@@ -57,7 +57,7 @@ def fit_vocabulary(tf: DataFrame, n_docs, max_features: int | None = 5000, min_d
 # F6 --------------------------------------------------------------------------------
 def tfidf(tf: DataFrame, vocab: DataFrame, n_docs, doc_col: str, sublinear: bool = False,
           smooth: bool = True, norm: str | None = "l2", term_col: str = "term",
-          max_broadcast_rows: int = 1_000_000) -> DataFrame:
+          max_broadcast_rows: int = 1_000_000, vocab_bound: int | None = None) -> DataFrame:
     """``(doc, term, idx, weight)``: ``tf' * idf``, idf ``ln((1+n)/(1+df)) + 1`` (smooth), L2 per doc.
 
     ``tf' = 1 + ln(tf)`` when ``sublinear``.  Terms outside the vocabulary drop out.
@@ -66,7 +66,8 @@ def tfidf(tf: DataFrame, vocab: DataFrame, n_docs, doc_col: str, sublinear: bool
     idf = (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) if smooth
            else F.log(n / F.col("df"))) + F.lit(1.0)
     v = vocab.select(term_col, "idx", idf.alias("idf"))
-    x = lookup_join(tf, v, on=term_col, max_broadcast_rows=max_broadcast_rows)
+    # a vocabulary fitted with max_features is bounded by it: pass it as vocab_bound
+    x = lookup_join(tf, v, on=term_col, max_broadcast_rows=max_broadcast_rows, bound=vocab_bound)
     tfw = (F.lit(1.0) + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
     x = x.withColumn("weight", tfw * F.col("idf"))
     if norm == "l2":

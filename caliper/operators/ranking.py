@@ -12,8 +12,9 @@ None of these moves a whole table, partition or group through one task:
   give offsets, and the running sum is a window inside each bucket.
 * ``top_k``: ``row_number() <= k`` per group; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so a hot group is cut map-side.
-* ``lookup_join``: broadcast only when the lookup side is counted under a
-  bound; otherwise a salted shuffle join so a hot key spreads over tasks.
+* ``lookup_join``: broadcast only under a bound known by construction or
+  counted on the persisted lookup side; otherwise a salted shuffle join so a
+  hot key spreads over tasks.
 """
 
 from __future__ import annotations
@@ -42,7 +43,12 @@ def hash_bucket(h: Column, digits: int = DEFAULT_HASH_DIGITS) -> Column:
 
 
 def _maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a small table only after counting it under the bound."""
+    """Broadcast a small table only after counting it under the bound.
+
+    The table is persisted first, so the count materialises it once and the
+    join reads the cached rows instead of recomputing its lineage.
+    """
+    df = df.persist()
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
@@ -84,7 +90,8 @@ def top_fraction(df: DataFrame, keys, fraction: float | None = None, n: int | No
         edge = _maybe_broadcast(edge, max_broadcast_rows)
         y = x.join(edge, on=cls, how="left")
     else:
-        y = x.crossJoin(F.broadcast(edge))  # a single row
+        # one global class: the edge is a single row, read as scalar subqueries
+        y = x.withColumn("_eb", edge.select("_eb").scalar()).withColumn("_need", edge.select("_need").scalar())
     # classes with k = 0 have no edge row: nothing selected
     y = y.withColumn("_eb", F.coalesce(F.col("_eb"), F.lit(-1)))
     inner = y.where(F.col("_b") != F.col("_eb")).withColumn(flag_col, F.col("_b") < F.col("_eb"))
@@ -154,14 +161,20 @@ def top_k(df: DataFrame, group_cols, order_cols: Sequence[Column], k: int, rank_
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = 32,
-                salt_source: Column | None = None) -> DataFrame:
+                salt_source: Column | None = None, bound: int | None = None) -> DataFrame:
     """Join a lookup table whose size is checked, never assumed.
 
-    Under the bound it is broadcast (no shuffle of ``big``).  Above it the big
-    side gets a salt and the lookup side is replicated ``salts`` times, so a key
-    holding a third of the rows is spread over ``salts`` tasks.
+    ``bound`` states a size known by construction (a vocabulary capped by
+    ``max_features``): under the limit it is broadcast without a count.
+    Otherwise the lookup side is persisted and counted; under the limit it is
+    broadcast (no shuffle of ``big``).  Above it the big side gets a salt and
+    the lookup side is replicated ``salts`` times, so a key holding a third of
+    the rows is spread over ``salts`` tasks.
     """
     on = _cols(on)
+    if bound is not None and bound <= max_broadcast_rows:
+        return big.join(F.broadcast(small), on=on, how=how)
+    small = small.persist()
     if small.count() <= max_broadcast_rows:
         return big.join(F.broadcast(small), on=on, how=how)
     salt = (F.abs(F.xxhash64(*(salt_source is not None and [salt_source] or [F.col(c) for c in big.columns])))

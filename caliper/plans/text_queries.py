@@ -230,7 +230,7 @@ def tfidf_sublinear(spark, sf):
     n = t.documents.agg(F.count(F.lit(1))).scalar()
     tf = topic_tf(t)
     vocab = FT.fit_vocabulary(tf, n, max_features=500, min_df=2, max_df=0.95)
-    return FT.tfidf(tf, vocab, n, "doc_id", sublinear=True).select("doc_id", "term", "weight")
+    return FT.tfidf(tf, vocab, n, "doc_id", sublinear=True, vocab_bound=500).select("doc_id", "term", "weight")
 
 
 @query("f13_dtm_stats", "F13", sql=f"""
