@@ -103,6 +103,21 @@ def remove_stopwords(tokens, stops: Iterable[str] = ENGLISH) -> Column:
     return F.filter(_c(tokens), lambda t: ~t.isin(stops))
 
 
+def explode_tokens(df, keep, tokens, alias: str = "term", pos: str | None = None):
+    """One row per token (optionally with its 0-based position).
+
+    Uses the outer generator plus a NULL filter: for a plain ``explode`` Spark
+    infers a ``size(tokens) > 0`` pre-filter, which, with the projection
+    collapsed into it, would run the whole tokenising expression twice per row.
+    """
+    keep = list(keep)
+    if pos:
+        x = df.select(*keep, F.posexplode_outer(_c(tokens)).alias(pos, alias))
+    else:
+        x = df.select(*keep, F.explode_outer(_c(tokens)).alias(alias))
+    return x.where(F.col(alias).isNotNull())
+
+
 # X17
 def join_tokens(tokens, sep: str = " ") -> Column:
     return F.array_join(_c(tokens), sep)

@@ -118,7 +118,9 @@ def score_counts(df: DataFrame, label: str, score: str, positive=1) -> DataFrame
 
 def _cumulated(df: DataFrame, label: str, score: str, positive=1, n_buckets: int = 64) -> DataFrame:
     """Per distinct score: counts at or above it (``tps``, ``fps``) and totals ``P``, ``N``."""
-    sc = score_counts(df, label, score, positive)
+    # (score, pos, neg) is read by the quantiles, the totals and the running sums:
+    # persist it once (it has one row per distinct score, never more than the input)
+    sc = score_counts(df, label, score, positive).persist()
     cum = prefix_sums(sc, "score", ["pos", "neg"], n_buckets=n_buckets)
     tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     P, N = tot.select("P").scalar(), tot.select("N").scalar()
@@ -178,9 +180,11 @@ def threshold_sweep(df: DataFrame, label: str, score: str, lo: float, hi: float,
          .when((F.col("b0") < num - 1) & (t_of(F.col("b0") + 1) <= F.col("s")), F.col("b0") + 1)
          .otherwise(F.col("b0")))
     per = x.groupBy(b.alias("b")).agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
-    P = x.agg(F.count_if("y")).scalar()
+    # all bounded by num + 1 rows: the positives total comes from the bucket table
+    # itself (bucket -1 holds scores below the first threshold), not from a rescan
+    P = per.agg(F.coalesce(F.sum("pos"), F.lit(0))).scalar()  # Spark reuses the bucket aggregate's exchange
     dom = df.sparkSession.range(num).select(F.col("id").cast("int").alias("b"))
-    w = Window.orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)  # <= num rows
+    w = Window.orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, 0)
     sw = (dom.join(per, on="b", how="left").na.fill(0, ["pos", "neg"])
           .select("b", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp")))
     tp, fp = F.col("tp"), F.col("fp")

@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caliper.functions.text import explode_tokens
 from caliper.operators.evaluate import f1_expr
 from caliper.operators.ranking import hash_rank, lookup_join, top_k
 
@@ -63,9 +64,7 @@ def term_contributions(df: DataFrame, key: str, tokens_col: str, coefs: DataFram
     e.g. tf-idf): contribution = weight * coefficient; zeros are dropped
     unless ``drop_zeros=False``.  Ties break by term, then position.
     """
-    cols = [key, F.posexplode(tokens_col).alias("pos", term_col)]
-    x = df.select(key, tokens_col, *([weights_col] if weights_col else [])).select(
-        *cols, *([F.col(weights_col)] if weights_col else []))
+    x = explode_tokens(df, [key] + ([weights_col] if weights_col else []), tokens_col, term_col, pos="pos")
     if weights_col:
         x = x.withColumn("w", F.element_at(weights_col, F.col("pos") + 1)).drop(weights_col)
     j = lookup_join(x, coefs.select(term_col, coef_col), on=term_col, max_broadcast_rows=max_broadcast_rows)
@@ -80,7 +79,7 @@ def term_contributions(df: DataFrame, key: str, tokens_col: str, coefs: DataFram
 def known_term_score(df: DataFrame, key: str, tokens_col: str, coefs: DataFrame, intercept: float = 0.0,
                      term_col: str = "term", coef_col: str = "coef") -> DataFrame:
     """M15 over text: ``sigmoid(b + sum of known-term coefficients)`` per row."""
-    x = df.select(key, F.explode(tokens_col).alias(term_col))
+    x = explode_tokens(df, [key], tokens_col, term_col)
     j = lookup_join(x, coefs.select(term_col, coef_col), on=term_col)
     s = j.groupBy(key).agg(F.count(F.lit(1)).alias("n_known"), F.sum(coef_col).alias("z"))
     return s.select(key, "n_known", (F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(intercept) + F.col("z"))))).alias("score"))

@@ -18,12 +18,13 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caliper.functions.text import explode_tokens
 from caliper.operators.ranking import lookup_join
 
 
 def term_frequencies(df: DataFrame, doc_col: str, tokens_col: str, term_col: str = "term") -> DataFrame:
     """``(doc, term, tf)``: the sparse document-term matrix, aggregated map-side."""
-    return (df.select(doc_col, F.explode(tokens_col).alias(term_col))
+    return (explode_tokens(df, [doc_col], tokens_col, term_col)
             .groupBy(doc_col, term_col).agg(F.count(F.lit(1)).alias("tf")))
 
 

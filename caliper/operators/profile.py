@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caliper.functions.text import explode_tokens
 from caliper.operators.ranking import lookup_join, top_k
 
 
@@ -273,7 +274,7 @@ def token_counts(df: DataFrame, tokens_col: str, by: str | None = None, top_n: i
     holding a third of the corpus never reaches one task with all its terms.
     """
     keys = ([by] if by else []) + [term_col]
-    counts = (df.select(*([by] if by else []), F.explode(tokens_col).alias(term_col))
+    counts = (explode_tokens(df, [by] if by else [], tokens_col, term_col)
               .groupBy(*keys).agg(F.count(F.lit(1)).alias("count")))
     if top_n is None:
         return counts

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caliper.functions.porter import stem
-from caliper.functions.text import remove_stopwords
+from caliper.functions.text import explode_tokens, remove_stopwords
 from caliper.operators.ranking import lookup_join
 
 
@@ -32,7 +32,7 @@ def map_tokens(df: DataFrame, key: str, tokens_col: str, mapping: DataFrame, out
                max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Replace each token by its mapping (missing tokens map to themselves), keeping order and repeats."""
     out_col = out_col or tokens_col
-    ex = df.select(key, F.posexplode(tokens_col).alias("_pos", token_col))
+    ex = explode_tokens(df, [key], tokens_col, token_col, pos="_pos")
     m = mapping.select(token_col, mapped_col)
     j = lookup_join(ex, m, on=token_col, how="left", max_broadcast_rows=max_broadcast_rows,
                     salt_source=F.xxhash64(F.col(key), F.col("_pos")))
@@ -45,7 +45,7 @@ def map_tokens(df: DataFrame, key: str, tokens_col: str, mapping: DataFrame, out
 
 def stem_map(df: DataFrame, tokens_col: str, token_col: str = "token") -> DataFrame:
     """``(token, mapped)`` for every distinct token: the Porter stem, computed once per token."""
-    vocab = df.select(F.explode(tokens_col).alias(token_col)).distinct()
+    vocab = explode_tokens(df, [], tokens_col, token_col).distinct()
     return vocab.select(token_col, _stem_udf(F.col(token_col)).alias("mapped"))
 
 

@@ -24,7 +24,7 @@ def stemmed_tokens(spark, sf):
 
 def plural_lemmas(tokens_df, tokens_col="toks"):
     """A lemma table derived from the corpus: 'xs' -> 'x' when 'x' is itself a token of the corpus."""
-    v = tokens_df.select(F.explode(tokens_col).alias("token")).distinct()
+    v = X.explode_tokens(tokens_df, [], tokens_col, "token").distinct()
     pl = v.where(F.col("token").endswith("s")).select("token", F.expr("substring(token, 1, length(token) - 1)").alias("lemma"))
     return pl.join(v.select(F.col("token").alias("lemma")), on="lemma", how="left_semi").select("token", "lemma")
 

@@ -276,3 +276,15 @@ def sentiment_scoring(spark, sf):
     train = labelled_docs(t).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
     model = _text_model(train, C=1.0)
     return SC.score_sentiment(model, t.benchmark.select("item_id", "text"), "item_id")
+
+
+@query("c2_tabular_scoring", "C2 M4 S3")
+def tabular_scoring(spark, sf):
+    """Customer rows scored at threshold 0.5 by a class-weighted logistic model."""
+    d = _customer(Tables(spark, sf))
+    train = S.with_class_weights(d.where("split = 'train'"), "label")
+    n = train.agg(F.sum("weight")).first()[0]
+    pipe = Pipeline(stages=M.tabular_stages(["c_acctbal"], ["nation"])
+                    + [M.logistic_regression(C=1.0, n_rows=n, weight_col="weight")])
+    model = pipe.fit(train)
+    return SC.score_tabular(model, d.where("split = 'test'"), "c_custkey", threshold=0.5)
