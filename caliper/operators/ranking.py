@@ -25,7 +25,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_HASH_DIGITS = 4          # 16**4 = 65,536 hash buckets per class
+DEFAULT_HASH_DIGITS = 5          # 16**5 = 1,048,576 hash buckets per class: at 10^12 rows a boundary bucket holds ~10^6
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 

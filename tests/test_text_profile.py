@@ -77,3 +77,15 @@ def test_umass_pairs(spark):
     import math
     got = umass_coherence(top, dt).first().coherence
     assert got == pytest.approx(math.log((1 + 1) / 2))
+
+
+def test_kde_binned_close_to_exact(spark):
+    import random
+    rnd = random.Random(7)
+    df = spark.createDataFrame([(rnd.gauss(0, 1),) for _ in range(2000)], "x double")
+    a = [r.density for r in A.kde(df, "x").collect()]
+    b = [r.density for r in A.kde(df, "x", binned=True).collect()]
+    assert max(abs(x - y) for x, y in zip(a, b)) < 1e-3 * max(a)
+    # the density integrates to ~1 over the grid
+    xs = [r.x for r in A.kde(df, "x").collect()]
+    assert abs(sum(a) * (xs[1] - xs[0]) - 1.0) < 0.01
