@@ -287,4 +287,11 @@ def tabular_scoring(spark, sf):
     pipe = Pipeline(stages=M.tabular_stages(["c_acctbal"], ["nation"])
                     + [M.logistic_regression(C=1.0, n_rows=n, weight_col="weight")])
     model = pipe.fit(train)
-    return SC.score_tabular(model, d.where("split = 'test'"), "c_custkey", threshold=0.5)
+    # S3: the rows to score arrive as JSON records, read back with the model's input schema
+    from caliper.session import scratch_path
+    from caliper.sources import io as IO
+    test = d.where("split = 'test'").select("c_custkey", "c_acctbal", "nation")
+    p = scratch_path(spark, "customers-json")
+    test.write.mode("overwrite").json(p)
+    recs = IO.read_json_records(spark, p, test.schema)
+    return SC.score_tabular(model, recs, "c_custkey", threshold=0.5)

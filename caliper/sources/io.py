@@ -55,9 +55,13 @@ def read_labelled_tsv(spark: SparkSession, path: str, label_col: str = "label",
 
 
 # S3 -------------------------------------------------------------------------
-def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON record(s) to score; a directory of records scores as one batch."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """JSON records to score; a directory of records scores as one batch.
+
+    JSON lines by default; ``multiline=True`` for pretty-printed files holding
+    one record (or one array of records) each.
+    """
+    return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
 # S4 -------------------------------------------------------------------------

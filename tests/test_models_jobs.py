@@ -131,3 +131,12 @@ def test_stream_equals_batch(spark, tmp_path):
                         file_glob="conversations.parquet")
     b = score_messages(model, conv.select(F.concat_ws(":", "conv_id", "turn").alias("msg_id"), "text"), "msg_id")
     assert sorted(s.collect()) == sorted(b.collect())
+
+
+def test_json_record_scan(spark, tmp_path):
+    from pyspark.sql import types as T
+    p = tmp_path / "one.json"
+    p.write_text('{\n  "MedInc": 3.5,\n  "Latitude": 37.8,\n  "Longitude": -122.2\n}\n')
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in ("MedInc", "Latitude", "Longitude")])
+    rows = IO.read_json_records(spark, str(p), schema, multiline=True).collect()
+    assert len(rows) == 1 and rows[0].MedInc == 3.5
