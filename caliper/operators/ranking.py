@@ -52,6 +52,30 @@ def _maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+SUPER_BITS = 10  # buckets are grouped 1024 at a time for the two-level running count
+
+
+def _bucket_running_count(counts: DataFrame, cls: list, max_broadcast_rows: int) -> DataFrame:
+    """Add ``_cum`` (running count over buckets, inclusive) and ``_n`` (class total).
+
+    Two levels instead of one single-partition window: totals per super-bucket
+    (``_b >> 10``; at most ``16^digits / 1024`` rows per class) get their offsets
+    from a small window, and the running count inside a super-bucket is a
+    window partitioned by (class, super-bucket).
+    """
+    c = counts.withColumn("_hi", F.shiftright(F.col("_b"), SUPER_BITS))
+    sup = c.groupBy(*cls, "_hi").agg(F.sum("_cnt").alias("_scnt"))
+    sw = Window.partitionBy(*cls).orderBy("_hi") if cls else Window.orderBy("_hi")
+    sup = sup.select(*cls, "_hi",
+                     F.coalesce(F.sum("_scnt").over(sw.rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("_soff"),
+                     F.sum("_scnt").over(Window.partitionBy(*cls) if cls else Window.partitionBy()).alias("_n"))
+    sup = _maybe_broadcast(sup, max_broadcast_rows)
+    iw = Window.partitionBy(*cls, "_hi").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    return (c.join(sup, on=cls + ["_hi"], how="inner")
+            .withColumn("_cum", F.col("_soff") + F.sum("_cnt").over(iw)).drop("_hi", "_soff"))
+
+
 def top_fraction(df: DataFrame, keys, fraction: float | None = None, n: int | None = None,
                  class_col: str | None = None, seed: int = 42, flag_col: str = "selected",
                  digits: int = DEFAULT_HASH_DIGITS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -68,10 +92,7 @@ def top_fraction(df: DataFrame, keys, fraction: float | None = None, n: int | No
     grp = cls + ["_b"]
     counts = x.groupBy(*grp).agg(F.count(F.lit(1)).alias("_cnt"),
                                  *([F.first(n_col).alias("_want")] if n_col else []))
-    w = Window.partitionBy(*cls).orderBy("_b") if cls else Window.orderBy("_b")
-    tot_w = Window.partitionBy(*cls) if cls else Window.partitionBy(F.lit(0))
-    counts = (counts.withColumn("_cum", F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_n", F.sum("_cnt").over(tot_w)))
+    counts = _bucket_running_count(counts, cls, max_broadcast_rows)
     if n_col:
         target = F.least(F.col("_want").cast("long"), F.col("_n"))
     elif n is not None:
@@ -114,9 +135,8 @@ def hash_rank(df: DataFrame, keys, class_col: str | None = None, seed: int = 42,
     cls = [class_col] if class_col else []
     x = df.withColumn("_h", hash_order(keys, seed)).withColumn("_b", hash_bucket(F.col("_h"), digits))
     counts = x.groupBy(*cls, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*cls).orderBy("_b") if cls else Window.orderBy("_b")
-    offs = counts.select(*cls, "_b", (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, 0))
-                                      - F.col("_cnt")).alias("_off"))
+    offs = _bucket_running_count(counts, cls, max_broadcast_rows).select(
+        *cls, "_b", (F.col("_cum") - F.col("_cnt")).alias("_off"))
     offs = _maybe_broadcast(offs, max_broadcast_rows)
     rw = Window.partitionBy(*cls, "_b").orderBy("_h", *keys)
     return (x.join(offs, on=cls + ["_b"], how="inner")

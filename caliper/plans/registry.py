@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caliper.sources.io import read_table
+from caliper.sources.io import read_table, spread
 
 DIGITS = 6
 
@@ -56,6 +56,13 @@ def query(name: str, ops: str, sql: str | None = None):
     return deco
 
 
+# Fact and text tables: scans of these get the parallelism guard (io.spread);
+# dimension tables stay as they are (they are joined or broadcast as scanned).
+FACT_TABLES = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",), "events": ("event_id",),
+               "documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn"),
+               "embeddings": ("vec_id",)}
+
+
 class Tables:
     """Lazy table access for a query: ``t.lineitem`` is a parquet scan."""
 
@@ -65,7 +72,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        df = read_table(self.spark, self.sf_dir, name)
+        return spread(df, FACT_TABLES[name]) if name in FACT_TABLES else df
 
 
 def sql_list(words) -> str:

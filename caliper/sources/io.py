@@ -22,6 +22,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
+    """Scan-parallelism guard: repartition when a scan yields fewer partitions
+    than the cluster's default parallelism.
+
+    A file written as one large row group can only be read by one task, which
+    would then run all the per-row work (regexes, hashing) alone.  On a real
+    input (thousands of files and row groups) the scan already has more
+    partitions than cores and this is a no-op.  With ``keys`` the rows are
+    hash-partitioned on the table's key: deterministic on retry without the
+    local sort a round-robin repartition needs, and later joins on the key can
+    reuse the partitioning.  Column pruning and filters still reach the scan.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Replace NaN by NULL in floating columns (pandas' notion of missing)."""
     fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
