@@ -51,7 +51,8 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
 
     def _fit(self, df: DataFrame) -> SQLTransformer:
         cols, suf = self.getInputCols(), self.getOrDefault(self.suffix)
-        med = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in cols]).first()
+        from caliper.operators.quantiles import exact_quantiles
+        med = {c: exact_quantiles(df, c, [0.5]).first()["value"] for c in cols}  # one number per column
         exprs = [f"coalesce(CAST({_q(c)} AS DOUBLE), {float(med[c])!r}) AS {_q(c + suf)}" for c in cols]
         return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
 

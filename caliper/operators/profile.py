@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caliper.functions.text import explode_tokens
+from caliper.operators.quantiles import exact_quantiles
 from caliper.operators.ranking import lookup_join, top_k
 
 
@@ -27,44 +28,64 @@ def _long(df_one_row: DataFrame, names: Sequence[str], fields: dict[str, callabl
     return df_one_row.select(F.inline(F.array(*structs)))
 
 
+def mean(c, decimals: int | None = None) -> Column:
+    """Mean; with ``decimals`` (a column of fixed-decimal values such as prices) the sum is
+    an exact decimal, so the result does not depend on the summation order
+    (partitioning), cast to double once and divided by the count."""
+    x = F.col(c) if isinstance(c, str) else c
+    if decimals is None:
+        return F.avg(x)
+    return F.sum(x.cast(f"decimal(38,{decimals})")).cast("double") / F.count(x)
+
+
 # A1 -------------------------------------------------------------------------
-def table_summary(df: DataFrame, rate_col: str | None = None, mean_cols: Sequence[str] = ()) -> DataFrame:
+def table_summary(df: DataFrame, rate_col: str | None = None, mean_cols: Sequence[str] = (),
+                  decimals: int | None = None) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("rows")]
     if rate_col:
         aggs.append(F.avg(F.col(rate_col).cast("double")).alias(f"{rate_col}_rate"))
-    aggs += [F.avg(c).alias(f"mean_{c}") for c in mean_cols]
+    aggs += [mean(c, decimals).alias(f"mean_{c}") for c in mean_cols]
     return df.agg(*aggs)
 
 
 # A2 / A3 / A20 -----------------------------------------------------------------
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx: bool = False,
-             accuracy: int = 10000) -> DataFrame:
+             accuracy: int = 10000, decimals: int | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max per column.
 
-    ``approx=True`` swaps the exact ``percentile`` (keeps a count map of the
-    distinct values) for ``percentile_approx`` on very large columns.
+    Quartiles are exact and distributed (:func:`exact_quantiles`: no value
+    map gathered in one task); ``approx=True`` uses ``percentile_approx``.
     """
+    by = list(by)
     probs = [0.25, 0.5, 0.75]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile_approx(x, probs, accuracy) if approx else F.percentile(x, F.lit(probs))
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+        aggs += [F.count(x).alias(f"{c}__count"), mean(F.col(c), decimals).alias(f"{c}__mean"),
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if approx:
+            aggs.append(F.percentile_approx(x, probs, accuracy).alias(f"{c}__q"))
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    structs = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
+    fields = lambda c: [F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
                         F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                        F.col(f"{c}__min").alias("min"),
-                        F.col(f"{c}__q")[0].alias("p25"), F.col(f"{c}__q")[1].alias("p50"),
-                        F.col(f"{c}__q")[2].alias("p75"), F.col(f"{c}__max").alias("max"))
-               for c in cols]
-    return g.select(*by, F.inline(F.array(*structs)))
+                        F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")]
+    if approx:
+        structs = [F.struct(*fields(c), F.col(f"{c}__q")[0].alias("p25"), F.col(f"{c}__q")[1].alias("p50"),
+                            F.col(f"{c}__q")[2].alias("p75")) for c in cols]
+        return g.select(*by, F.inline(F.array(*structs)))
+    base = g.select(*by, F.inline(F.array(*[F.struct(*fields(c)) for c in cols])))
+    qs = None
+    for c in cols:
+        q = exact_quantiles(df, c, probs, by).withColumn("column_name", F.lit(c))
+        qs = q if qs is None else qs.unionByName(q)
+    wide = qs.groupBy(*by, "column_name").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
+                                                for p, n in zip(probs, ("p25", "p50", "p75"))])
+    out = base.join(wide, on=by + ["column_name"], how="left")  # columns x groups rows on both sides
+    return out.select(*by, "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def median(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    m = F.percentile(F.col(col).cast("double"), F.lit(0.5)).alias("median")
-    return df.groupBy(*by).agg(m) if by else df.agg(m)
+    return exact_quantiles(df, col, [0.5], by).select(*by, F.col("value").alias("median"))
 
 
 # A4 / A5 / A23 --------------------------------------------------------------
@@ -94,9 +115,10 @@ def crosstab(df: DataFrame, a: str, b: str, b_values: Sequence | None = None,
 
 
 # A7 / A8 ------------------------------------------------------------------------
-def grouped_mean(df: DataFrame, by: Sequence[str] | str, col: str, alias: str | None = None) -> DataFrame:
+def grouped_mean(df: DataFrame, by: Sequence[str] | str, col: str, alias: str | None = None,
+                 decimals: int | None = None) -> DataFrame:
     by = [by] if isinstance(by, str) else list(by)
-    return df.groupBy(*by).agg(F.avg(col).alias(alias or f"mean_{col}"))
+    return df.groupBy(*by).agg(mean(col, decimals).alias(alias or f"mean_{col}"))
 
 
 def segment_error(df: DataFrame, bands: Sequence[str], err_col: str = "abs_error",
@@ -236,9 +258,9 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whis: float = 1.5,
     """Q1, median, Q3, whiskers at the last datum within ``whis`` IQR, outlier count per group."""
     keys = [by] if by else []
     x = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("x"))
-    q = (x.groupBy(*keys) if keys else x.groupBy()).agg(
-        F.percentile("x", F.lit([0.25, 0.5, 0.75])).alias("q"))
-    q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    eq = exact_quantiles(x, "x", [0.25, 0.5, 0.75], keys)
+    q = eq.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
+                                for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     q = q.withColumn("lo_fence", F.col("q1") - whis * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
     inside = (F.col("x") >= F.col("lo_fence")) & (F.col("x") <= F.col("hi_fence"))
@@ -265,8 +287,8 @@ def letter_values(df: DataFrame, col: str, by: str | None = None, depth: int = 5
     """Letter-value (boxen) quantiles per group, long ``(by, level, lower, upper)``."""
     keys = [by] if by else []
     ps = letter_value_probs(depth)
-    g = df.where(F.col(col).isNotNull()).groupBy(*keys).agg(
-        F.percentile(F.col(col).cast("double"), F.lit(ps)).alias("q"))
+    eq = exact_quantiles(df, col, ps, keys)
+    g = eq.groupBy(*keys).agg(F.array(*[F.max(F.when(F.col("p") == p, F.col("value"))) for p in ps]).alias("q"))
     structs = [F.struct(F.lit(1).alias("level"), F.col("q")[0].alias("lower"), F.col("q")[0].alias("upper"))]
     for k in range(2, depth + 1):
         i = 1 + 2 * (k - 2)

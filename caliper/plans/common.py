@@ -19,7 +19,12 @@ from caliper.plans.registry import Tables
 
 def R(expr: str) -> str:
     """SQL: round a floating expression the way the registry rounds Spark output."""
-    return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
+    return f"(floor(CAST({expr} AS DOUBLE) * 1000000.0 + 0.5) / 1000000.0 + 0.0)"
+
+
+def MEAN(col: str, decimals: int = 2) -> str:
+    """SQL twin of ``profile.mean(col, decimals)``: exact decimal sum, one cast, one division."""
+    return f"(CAST(sum(CAST({col} AS DECIMAL(38,{decimals}))) AS DOUBLE) / count({col}))"
 
 
 # Fixed scoring formula of the stand-in model: z = 4*discount - 3*tax + 0.02*quantity - 0.5,

@@ -153,9 +153,13 @@ def model_roundtrip(spark, sf):
 @query("f1_median_impute", "F1", sql="""
 WITH x AS (SELECT CASE WHEN l_discount = 0 THEN NULL ELSE l_discount END AS d FROM lineitem),
 m AS (SELECT quantile_cont(d, 0.5) AS med FROM x)
-SELECT count(*) FILTER (WHERE d IS NULL) AS n_imputed, round(sum(coalesce(d, med)), 6) + 0.0 AS total FROM x, m""")
+SELECT count(*) FILTER (WHERE d IS NULL) AS n_imputed,
+       floor(CAST(sum(CAST(coalesce(d, med) AS DECIMAL(38,6))) AS DOUBLE) * 1000000.0 + 0.5) / 1000000.0 + 0.0 AS total
+FROM x, m""")
 def median_impute(spark, sf):
     from caliper.operators import models as M
     x = Tables(spark, sf).lineitem.select(F.when(F.col("l_discount") == 0, F.lit(None)).otherwise(F.col("l_discount")).alias("d"))
     out = M.MedianImputer(["d"]).fit(x).transform(x)
-    return out.agg(F.count_if(F.col("d").isNull()).alias("n_imputed"), F.sum("d__imp").alias("total"))
+    # exact decimal sum: the total does not depend on the summation order
+    return out.agg(F.count_if(F.col("d").isNull()).alias("n_imputed"),
+                   F.sum(F.col("d__imp").cast("decimal(38,6)")).cast("double").alias("total"))

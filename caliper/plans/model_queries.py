@@ -71,16 +71,16 @@ def top_bottom_terms(spark, sf):
 
 
 @query("m1_linear_regression_1d", "M1 F4 M11", sql="""
-SELECT round(regr_slope(l_extendedprice, l_quantity), 4) + 0.0 AS slope,
-       round(regr_intercept(l_extendedprice, l_quantity), 4) + 0.0 AS intercept FROM lineitem""")
+SELECT floor(regr_slope(l_extendedprice, l_quantity) * 10000.0 + 0.5) / 10000.0 + 0.0 AS slope,
+       floor(regr_intercept(l_extendedprice, l_quantity) * 10000.0 + 0.5) / 10000.0 + 0.0 AS intercept FROM lineitem""")
 def linear_regression_1d(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_quantity", F.col("l_extendedprice").alias("label"))
     from pyspark.ml.feature import VectorAssembler
     model = Pipeline(stages=[VectorAssembler(inputCols=["l_quantity"], outputCol="features"),
                              M.linear_regression()]).fit(li)
     lr = model.stages[-1]
-    return spark.range(1).select(F.round(F.lit(float(lr.coefficients[0])), 4).alias("slope"),
-                                 F.round(F.lit(float(lr.intercept)), 4).alias("intercept"))
+    r4 = lambda v: F.floor(F.lit(float(v)) * F.lit(10000.0) + F.lit(0.5)).cast("double") / F.lit(10000.0)
+    return spark.range(1).select(r4(lr.coefficients[0]).alias("slope"), r4(lr.intercept).alias("intercept"))
 
 
 @query("c6_gauge_zones", "C6", sql=f"""

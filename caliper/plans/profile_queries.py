@@ -9,7 +9,7 @@ from caliper.functions import text as X
 from caliper.functions.stopwords import ENGLISH
 from caliper.operators import profile as A
 from caliper.operators.ranking import hash_order
-from caliper.plans.common import (R, SCORED_SQL, SEGMENT_SQL, WORD_RE, labelled_docs, scored_lineitem,
+from caliper.plans.common import (MEAN, R, SCORED_SQL, SEGMENT_SQL, WORD_RE, labelled_docs, scored_lineitem,
                                   segment_frame)
 from caliper.plans.registry import Tables, query, sql_list
 
@@ -34,10 +34,10 @@ def class_top_terms(spark, sf):
 
 @query("a1_table_summary", "A1", sql=f"""
 SELECT count(*) AS rows, {R("avg(CAST(o_orderstatus = 'F' AS INTEGER))")} AS is_f_rate,
-       {R("avg(o_totalprice)")} AS mean_o_totalprice FROM orders""")
+       {R(MEAN("o_totalprice"))} AS mean_o_totalprice FROM orders""")
 def table_summary(spark, sf):
     o = Tables(spark, sf).orders.withColumn("is_f", (F.col("o_orderstatus") == "F").cast("int"))
-    return A.table_summary(o, rate_col="is_f", mean_cols=["o_totalprice"])
+    return A.table_summary(o, rate_col="is_f", mean_cols=["o_totalprice"], decimals=2)
 
 
 _DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -46,7 +46,7 @@ _DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def _describe_sql(cols, table, by=None):
     parts = []
     for c in cols:
-        sel = (f"{by}, " if by else "") + f"""'{c}' AS column_name, count({c}) AS count, {R(f'avg({c})')} AS mean,
+        sel = (f"{by}, " if by else "") + f"""'{c}' AS column_name, count({c}) AS count, {R(MEAN(c))} AS mean,
   {R(f'stddev_samp({c})')} AS std, {R(f'min({c})')} AS min, {R(f'quantile_cont({c}, 0.25)')} AS p25,
   {R(f'quantile_cont({c}, 0.5)')} AS p50, {R(f'quantile_cont({c}, 0.75)')} AS p75, {R(f'max({c})')} AS max"""
         parts.append(f"SELECT {sel} FROM {table}" + (f" GROUP BY {by}" if by else ""))
@@ -55,12 +55,12 @@ def _describe_sql(cols, table, by=None):
 
 @query("a2_describe", "A2", sql=_describe_sql(_DESC_COLS, "lineitem"))
 def describe(spark, sf):
-    return A.describe(Tables(spark, sf).lineitem, _DESC_COLS)
+    return A.describe(Tables(spark, sf).lineitem, _DESC_COLS, decimals=2)
 
 
 @query("a3_grouped_describe", "A3", sql=_describe_sql(["l_quantity", "l_discount"], "lineitem", "l_returnflag"))
 def grouped_describe(spark, sf):
-    return A.describe(Tables(spark, sf).lineitem, ["l_quantity", "l_discount"], by=["l_returnflag"])
+    return A.describe(Tables(spark, sf).lineitem, ["l_quantity", "l_discount"], by=["l_returnflag"], decimals=2)
 
 
 @query("a4_value_counts", "A4 P11", sql="""
@@ -357,12 +357,12 @@ def top_bottom_k(spark, sf):
 @query("p14_ratio_format", "P14", sql=f"""
 SELECT o_orderstatus, count(*) AS n,
        {R("round(100.0 * count(*) / (SELECT count(*) FROM orders), 2)")} AS pct,
-       {R("avg(o_totalprice) / 1000.0")} AS mean_k
+       {R(MEAN("o_totalprice") + " / 1000.0")} AS mean_k
 FROM orders GROUP BY 1""")
 def ratio_format(spark, sf):
     o = Tables(spark, sf).orders
     total = o.agg(F.count(F.lit(1))).scalar()
-    g = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("m"))
+    g = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), A.mean("o_totalprice", 2).alias("m"))
     return g.select("o_orderstatus", "n", C.percent(F.col("n"), total, 2).alias("pct"),
                     (F.col("m") / 1000.0).alias("mean_k"))
 

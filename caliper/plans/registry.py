@@ -35,8 +35,12 @@ def round_floats(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            # +0.0 folds -0.0 into 0.0 before hashing
-            out.append((F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name))
+            # floor(x * 10^d + 0.5) / 10^d: plain IEEE operations, so both engines round a
+            # given double identically (their round() functions differ at halves); NaN kept
+            x = F.col(f.name).cast("double")
+            sc = float(10 ** digits)
+            r = F.floor(x * F.lit(sc) + F.lit(0.5)).cast("double") / F.lit(sc) + F.lit(0.0)
+            out.append(F.when(F.isnan(x), x).otherwise(r).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
