@@ -104,7 +104,7 @@ def tsv_scan(spark, sf):
     return IO.read_labelled_tsv(spark, p)
 
 
-@query("s4_corpus_scan", "S4", sql="SELECT doc_id, source AS category, length(text) AS n FROM documents")
+@query("s4_corpus_scan", "S4", sql="SELECT doc_id, source AS category, CAST(length(text) AS INTEGER) AS n FROM documents")
 def corpus_scan(spark, sf):
     from caliper.sources import io as IO
     return IO.corpus(spark, sf).select("doc_id", "category", F.length("raw_text").alias("n"))

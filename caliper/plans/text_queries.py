@@ -67,7 +67,7 @@ def letters3_sql(e: str) -> str:
 
 
 @query("x2_strip_html", "X2", sql=f"""
-SELECT page_id, md5({strip_html_sql('html')}) AS h, length({strip_html_sql('html')}) AS n FROM pages""")
+SELECT page_id, md5({strip_html_sql('html')}) AS h, CAST(length({strip_html_sql('html')}) AS INTEGER) AS n FROM pages""")
 def strip_html(spark, sf):
     p = Tables(spark, sf).pages
     s = X.strip_html("html")
@@ -92,14 +92,14 @@ def drop_empty_clean(spark, sf):
 
 
 @query("x23_spam_clean", "X23 X1 X5 X4 X18", sql=f"""
-SELECT doc_id, md5(c) AS h, length(c) AS length FROM (SELECT doc_id, {spam_sql('text')} AS c FROM documents)""")
+SELECT doc_id, md5(c) AS h, CAST(length(c) AS INTEGER) AS length FROM (SELECT doc_id, {spam_sql('text')} AS c FROM documents)""")
 def spam_clean(spark, sf):
     c = X.clean_spam("text")
     return Tables(spark, sf).documents.select("doc_id", F.md5(c).alias("h"), F.length(c).alias("length"))
 
 
 @query("x23_spam_clean_trimmed", "X4", sql=f"""
-SELECT conv_id, turn, length({spam_sql('text', trim=True)}) AS length FROM conversations""")
+SELECT conv_id, turn, CAST(length({spam_sql('text', trim=True)}) AS INTEGER) AS length FROM conversations""")
 def spam_clean_trimmed(spark, sf):
     c = X.clean_spam("text", trim=True)
     return Tables(spark, sf).conversations.select("conv_id", "turn", F.length(c).alias("length"))
@@ -131,7 +131,7 @@ def punct_digits(spark, sf):
 
 
 @query("x19_word_count", "X19 X8 X18", sql=f"""
-SELECT doc_id, CAST(len({ws_tokens_sql('text')}) AS INTEGER) AS words, length(text) AS chars FROM documents""")
+SELECT doc_id, CAST(len({ws_tokens_sql('text')}) AS INTEGER) AS words, CAST(length(text) AS INTEGER) AS chars FROM documents""")
 def word_count(spark, sf):
     d = Tables(spark, sf).documents
     return d.select("doc_id", X.word_count("text").alias("words"), X.char_length("text").alias("chars"))
