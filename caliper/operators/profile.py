@@ -74,10 +74,11 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx:
                             F.col(f"{c}__q")[2].alias("p75")) for c in cols]
         return g.select(*by, F.inline(F.array(*structs)))
     base = g.select(*by, F.inline(F.array(*[F.struct(*fields(c)) for c in cols])))
-    qs = None
-    for c in cols:
-        q = exact_quantiles(df, c, probs, by).withColumn("column_name", F.lit(c))
-        qs = q if qs is None else qs.unionByName(q)
+    # all columns in one pipeline: stack to (by..., column_name, value), column_name is a group key
+    stacked = df.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                         F.col(c).cast("double").alias("value"))
+                                                for c in cols])))
+    qs = exact_quantiles(stacked, "value", probs, by + ["column_name"])
     wide = qs.groupBy(*by, "column_name").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
                                                 for p, n in zip(probs, ("p25", "p50", "p75"))])
     out = base.join(wide, on=by + ["column_name"], how="left")  # columns x groups rows on both sides
