@@ -34,8 +34,11 @@ def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFra
     local sort a round-robin repartition needs, and later joins on the key can
     reuse the partitioning.  Column pruning and filters still reach the scan.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001  (sessions without RDD access: leave the scan as it is)
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
