@@ -8,9 +8,7 @@ table that may be broadcast, because its size is bounded by that cap.
 
 from __future__ import annotations
 
-from typing import Sequence
-
-from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters

@@ -6,7 +6,6 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from caliper.functions import text as X
-from caliper.functions.columns import threshold_flag
 from caliper.operators import evaluate as E
 from caliper.operators import explain as XP
 from caliper.operators import models as M

@@ -8,8 +8,6 @@ output, and a restarted query resumes from the last committed batch.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
