@@ -16,7 +16,7 @@ DOC_HASH = "md5(concat_ws('|', CAST(doc_id AS VARCHAR), '42'))"
 
 
 # Splits -----------------------------------------------------------------------------------
-@query("f7_random_split", "F7 S10", sql=f"""
+@query("f7_random_split", "F7", sql=f"""
 SELECT l_orderkey, l_linenumber,
        CASE WHEN row_number() OVER (ORDER BY {LI_HASH}, l_orderkey, l_linenumber)
                  <= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split

@@ -66,7 +66,7 @@ def smote_counts(spark, sf):
     return out.groupBy("y", "synthetic").agg(F.count(F.lit(1)).alias("count"))
 
 
-@query("w1_stream_scoring", "W1 C1 S3")
+@query("w1_stream_scoring", "W1 C1")
 def stream_scoring(spark, sf):
     from pyspark.sql import types as T
     from caliper.plans.model_queries import _text_model

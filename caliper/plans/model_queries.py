@@ -260,7 +260,7 @@ def permutation_importance(spark, sf):
 
 
 # Scoring jobs ----------------------------------------------------------------------------
-@query("c1_batch_text_scoring", "C1 S7")
+@query("c1_batch_text_scoring", "C1")
 def batch_text_scoring(spark, sf):
     t = Tables(spark, sf)
     train = labelled_docs(t).select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
