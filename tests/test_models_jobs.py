@@ -140,3 +140,16 @@ def test_json_record_scan(spark, tmp_path):
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in ("MedInc", "Latitude", "Longitude")])
     rows = IO.read_json_records(spark, str(p), schema, multiline=True).collect()
     assert len(rows) == 1 and rows[0].MedInc == 3.5
+
+
+def test_what_if_savings(spark):
+    from pyspark.ml.feature import SQLTransformer
+    from caliper.operators.score import what_if
+    model = SQLTransformer(statement="SELECT *, x * 2.0 AS prediction FROM __THIS__")
+    df = spark.createDataFrame([(1, 1.0, "no"), (2, 5.0, "yes")], "k int, x double, smoker string")
+    out = {r.k: r for r in what_if(model, df, "k", {
+        "cap": (F.col("x") > 3, {"x": F.lit(3.0)}),
+        "quit": (F.col("smoker") == "yes", {"smoker": F.lit("no")})}).collect()}
+    assert out[1].base == 2.0 and out[1].cap is None and out[1].saving_cap is None
+    assert out[2].base == 10.0 and out[2].cap == 6.0 and out[2].saving_cap == 4.0
+    assert out[2].saving_quit == 0.0  # the stand-in model ignores smoker
