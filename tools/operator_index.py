@@ -33,7 +33,10 @@ def main():
         qs = by_op.get(op, [])
         missing += not qs
         cell = ", ".join(f"`{q}` ({'sql' if reg[q].sql else 'rows'})" for q in sorted(qs)) or "—"
-        out.append(f"| {op} | {desc.strip()[:90]} | {cell} |")
+        # operator name only: drop the source citations that the survey's descriptions carry
+        name = re.sub(r"\(?`[^`]*\.(py|md)[^`]*`\)?[,;]?", "", desc)
+        name = re.sub(r"\s+", " ", name).strip(" ,;:")
+        out.append(f"| {op} | {name[:90]} | {cell} |")
     out += ["", f"{len(rows)} operator ids, {len(rows) - missing} covered; {len(reg)} registered queries, "
                 f"{sum(1 for e in reg.values() if e.sql)} with SQL oracles."]
     with open(os.path.join(ROOT, "OPERATORS.md"), "w") as f:
