@@ -104,3 +104,13 @@ def test_regression_metrics(spark):
     assert r.mae == pytest.approx(0.5)
     assert r.rmse == pytest.approx(((0.25 + 0 + 1) / 3) ** 0.5)
     assert r.r2 == pytest.approx(1 - 1.25 / 2.0)
+
+
+def test_single_class_and_no_positive_prediction(spark):
+    df = spark.createDataFrame([(0, 0)] * 5, "label int, pred int")
+    m = E.binary_metrics(df, "label", "pred").first()
+    assert (m.tp, m.fp, m.fn, m.tn) == (0, 0, 0, 5) and m.f1 == 0.0 and m.precision == 0.0 and m.accuracy == 1.0
+    rep = {(r.label, r.metric): r.value for r in E.classification_report(df, "label", "pred").collect()}
+    assert rep[("1", "support")] == 0.0 and rep[("1", "f1-score")] == 0.0 and rep[("0", "recall")] == 1.0
+    auc = E.roc_auc(spark.createDataFrame([(0, 0.3), (0, 0.9)], "label int, score double"), "label", "score")
+    assert auc.first()[0] is None  # undefined with one class: NULL, not a number

@@ -109,3 +109,11 @@ def test_explode_tokens_keeps_rows_and_skips_empty(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, None)], "k int, t array<string>")
     got = sorted((r.k, r.pos, r.term) for r in explode_tokens(df, ["k"], "t", "term", pos="pos").collect())
     assert got == [(1, 0, "a"), (1, 1, "b"), (1, 2, "a")]
+
+
+def test_stratified_split_with_a_one_row_class(spark):
+    rows = [(i, 0) for i in range(20)] + [(100, 1)]
+    df = spark.createDataFrame(rows, "k long, c int")
+    out = {r.k: r.split for r in S.train_test_split(df, "k", 0.2, 42, stratify="c").collect()}
+    assert out[100] == "test"  # ceil(0.2 * 1) = 1
+    assert sum(1 for k, s in out.items() if s == "test" and k != 100) == 4

@@ -89,3 +89,14 @@ def test_kde_binned_close_to_exact(spark):
     # the density integrates to ~1 over the grid
     xs = [r.x for r in A.kde(df, "x").collect()]
     assert abs(sum(a) * (xs[1] - xs[0]) - 1.0) < 0.01
+
+
+def test_tfidf_term_in_every_document(spark):
+    import math
+    from caliper.operators import features as FT
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, ["a"]), (3, ["a", "c", "c"])], "d int, t array<string>")
+    tf = FT.term_frequencies(df, "d", "t")
+    vocab = FT.fit_vocabulary(tf, 3, max_features=10, min_df=1, max_df=1.0)
+    w = {(r.d, r.term): r.weight for r in FT.tfidf(tf, vocab, 3, "d", norm=None, vocab_bound=10).collect()}
+    assert w[(2, "a")] == pytest.approx(1.0)  # smoothed idf of a term in every document is 1, not 0
+    assert w[(3, "c")] == pytest.approx(2 * (math.log(4 / 2) + 1))
