@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from caliper.llm.decontaminate import OP4_SQL, op4_decontaminate
+from caliper.llm.jaccard_join import OP8_SQL, op8_jaccard_join
 from caliper.llm.language_id import op5_language_id
 from caliper.llm.line_dedup import OP9_SQL, op9_line_dedup
 from caliper.llm.mixing import OP10_SQL, op10_mix
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_mix": op10_mix,
 }
@@ -28,6 +30,7 @@ SQL = {
     "op3_url_filter": OP3_SQL.strip(),
     "op4_decontaminate": OP4_SQL.strip(),
     "op7_substring_dedup": OP7_SQL.strip(),
+    "op8_jaccard_join": OP8_SQL.strip(),
     "op9_line_dedup": OP9_SQL.strip(),
     "op10_mix": OP10_SQL.strip(),
 }
