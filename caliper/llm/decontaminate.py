@@ -166,7 +166,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
     items = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
     n_chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n_slices = max(1, -(-n_chars // (4 * slice_words)))
-    d = docs.select(*id_cols, text_col)
+    d = docs.select(*dict.fromkeys([*id_cols, text_col]))
     plain = ", ".join(f"`{c}` {d.schema[c].dataType.simpleString()}" for c in id_cols)
     parts = []
     for k in range(n_slices):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from caliper.llm.bm25_search import OP6_SQL, op6_bm25_search
 from caliper.llm.decontaminate import OP4_SQL, op4_decontaminate
 from caliper.llm.jaccard_join import OP8_SQL, op8_jaccard_join
 from caliper.llm.language_id import op5_language_id
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
+    "op6_bm25_search": op6_bm25_search,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
@@ -29,6 +31,7 @@ SQL = {
     "op2_warc": OP2_SQL.strip(),
     "op3_url_filter": OP3_SQL.strip(),
     "op4_decontaminate": OP4_SQL.strip(),
+    "op6_bm25_search": OP6_SQL.strip(),
     "op7_substring_dedup": OP7_SQL.strip(),
     "op8_jaccard_join": OP8_SQL.strip(),
     "op9_line_dedup": OP9_SQL.strip(),
