@@ -68,12 +68,16 @@ def bloom_filter(keys: DataFrame, n_keys: int, max_blocks: int = 1 << 17) -> tup
 
 
 def probe(filt: Column, blocks: int, key: Column) -> Column:
+    """Whether all eight bits of a key are set; the filter column is read once, for the key's block."""
     h1, h2 = _hashes(key)
-    block = F.element_at(filt, (F.pmod(h1, F.lit(blocks)) + 1).cast("int"))
-    ok = F.lit(True)
-    for i, bit in enumerate(_lane_bits(h2)):
-        ok = ok & (block[f"l{i}"].bitwiseAND(bit) != 0)
-    return ok
+
+    def passes(block: Column) -> Column:
+        ok = F.lit(True)
+        for i, bit in enumerate(_lane_bits(h2)):
+            ok = ok & (block[f"l{i}"].bitwiseAND(bit) != 0)
+        return ok
+
+    return F.forall(F.array(F.element_at(filt, (F.pmod(h1, F.lit(blocks)) + 1).cast("int"))), passes)
 
 
 def filter_urls(spark: SparkSession, pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
