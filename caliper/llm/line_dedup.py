@@ -130,7 +130,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 10, batche
     runs = LineRuns(spark, fanout=fanout)
     for b in range(batches):
         runs.add(docs.where(F.pmod(F.xxhash64(id_col), F.lit(batches)) == b), text_col)
-    frequent = runs.counts().where(F.col("n") >= min_docs).select("h1", "h2")
+    # a table of its own, so that the anti-join shuffles both sides and may split a common line's rows
+    path = f"{runs.path}/frequent"
+    runs.counts().where(F.col("n") >= min_docs).select("h1", "h2").write.parquet(path)
+    frequent = spark.read.parquet(path)
     return drop_lines(docs, frequent, id_col, text_col, cols)
 
 
