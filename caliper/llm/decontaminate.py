@@ -29,10 +29,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caliper.llm.words import ALNUM, Words, multi_arange, signed, slices, split_words
 
-OUT = "n_words long, covered array<struct<a:long,b:long>>, items array<string>"
+SPAN = T.StructType().add("a", "long").add("b", "long")
+OUT = [T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayType(SPAN)), T.StructField("items", T.ArrayType(T.StringType()))]
 
 
 class _Slice:
@@ -167,7 +169,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
     n_chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n_slices = max(1, -(-n_chars // (4 * slice_words)))
     d = docs.select(*dict.fromkeys([*id_cols, text_col]))
-    plain = ", ".join(f"`{c}` {d.schema[c].dataType.simpleString()}" for c in id_cols)
+    schema = T.StructType([d.schema[c] for c in id_cols] + OUT)
     parts = []
     for k in range(n_slices):
         rows = items.where(F.pmod(F.xxhash64("i"), F.lit(n_slices)) == k).orderBy("i", "t").collect()  # slice_words words
@@ -178,7 +180,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
         counts = d.select(text_col).mapInArrow(_shingle_counts(cand, text_col), "s int, h long, n long") if len(sl.length) else None
         df = {(r.s, r.h): r.n for r in counts.groupBy("s", "h").agg(F.sum("n").alias("n")).collect()} if counts is not None else {}
         index = spark.sparkContext.broadcast((sl, sl.prefixes(df)))
-        parts.append(d.mapInArrow(_find(index, id_cols, text_col), f"{plain}, {OUT}"))
+        parts.append(d.mapInArrow(_find(index, id_cols, text_col), schema))
     if len(parts) == 1:
         out = parts[0]
     else:

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caliper.llm.words import slices
 
@@ -166,10 +167,9 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, gap: float = 0.1
             id_cols: list[str] | None = None) -> DataFrame:
     """``id_cols`` of every row with ``lang_pred, score, ambiguous``."""
     id_cols = id_cols or [c for c in docs.columns if c != text_col]
-    cols = list(dict.fromkeys([*id_cols, text_col]))
-    plain = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in id_cols)
-    shared = spark.sparkContext.broadcast(model)
-    return docs.select(*cols).mapInArrow(_predictor(shared, id_cols, text_col, gap), f"{plain}, lang_pred string, score double, ambiguous boolean")
+    d = docs.select(*dict.fromkeys([*id_cols, text_col]))
+    schema = T.StructType([d.schema[c] for c in id_cols]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    return d.mapInArrow(_predictor(spark.sparkContext.broadcast(model), id_cols, text_col, gap), schema)
 
 
 def held_out(doc_id: Column) -> Column:

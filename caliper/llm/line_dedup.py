@@ -94,38 +94,36 @@ class LineRuns:
 
 
 def drop_lines(docs: DataFrame, frequent: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               cols: list[str] | None = None) -> DataFrame:
+               cols: list[str] | None = None, counts: bool = True) -> DataFrame:
     """Drop every line whose key is in ``frequent (h1, h2)``.
 
-    Returns ``cols`` of ``docs`` with the text replaced, plus ``n_lines`` and
-    ``n_dropped``.  Only hashed keys meet the frequent list (the join key is a
-    key hash: a common line's rows are split by the skew join); each document
-    then meets its own bounded list of dropped keys.
+    Returns ``cols`` of ``docs`` with the text replaced (a null text stays null)
+    and, if ``counts``, ``n_lines`` and ``n_dropped``.  Only hashed keys meet
+    the frequent list (the join key is a key hash: a common line's rows are
+    split by the skew join); each document then meets its own bounded list of
+    dropped keys.  Rows travel as one struct, so no column name can clash.
     """
     cols = cols or docs.columns
-    d = docs.select(*cols)
     if text_col not in cols:
         raise ValueError(f"{text_col} is not among the columns kept")
-    tagged = d.withColumn("_rk", F.xxhash64(F.col(text_col)))
-    pairs = tagged.select(F.col(id_col).alias("_i"), "_rk", F.explode(_keys(F.col(text_col))).alias("_k")).select(
-        "_i", "_rk", F.col("_k.h1").alias("h1"), F.col("_k.h2").alias("h2"))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(id_col).alias("i"), F.col(text_col).alias("t"),
+                    F.xxhash64(F.col(text_col)).alias("rk"))
+    pairs = d.select("i", "rk", F.explode(_keys(F.col("t"))).alias("k")).select("i", "rk", "k.h1", "k.h2")
     gone = (pairs.join(frequent.select("h1", "h2"), ["h1", "h2"], "left_semi")
-            .groupBy("_i", "_rk").agg(F.collect_set(F.struct("h1", "h2")).alias("_gone"))
-            .withColumnRenamed("_rk", "_rk2"))
-    j = tagged.join(gone, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_rk") == F.col("_rk2")), "left")
-    lines = lines_of(F.col(text_col))
-    kept = F.when(F.col("_gone").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: ~F.array_contains(F.col("_gone"), key_hash(line_key(x)))
-                 | (F.length(line_key(x)) < 1)))
-    j = j.withColumn("_kept", kept)
-    return j.select(*[F.when(F.col(text_col).isNull() & F.col("_gone").isNull(), F.col(text_col))
-                      .otherwise(F.array_join("_kept", "\n")).alias(c) if c == text_col else F.col(c) for c in cols],
-                    F.size(lines).cast("long").alias("n_lines"),
-                    (F.size(lines) - F.size("_kept")).cast("long").alias("n_dropped"))
+            .groupBy("i", "rk").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
+            .select(F.col("i").alias("i2"), F.col("rk").alias("rk2"), "gone"))
+    j = d.join(gone, F.col("i").eqNullSafe(F.col("i2")) & (F.col("rk") == F.col("rk2")), "left")
+    lines = lines_of(F.col("t"))
+    kept = F.when(F.col("gone").isNull(), lines).otherwise(
+        F.filter(lines, lambda x: ~F.array_contains(F.col("gone"), key_hash(line_key(x))) | (F.length(line_key(x)) < 1)))
+    text = F.when(F.col("t").isNotNull(), F.array_join(kept, "\n"))
+    out = j.select(F.col("row").withField(f"`{text_col}`", text).alias("row"), F.size(lines).cast("long").alias("n_lines"),
+                   (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"))
+    return out.select("row.*", "n_lines", "n_dropped") if counts else out.select("row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: int = 4,
-                id_col: str = "doc_id", text_col: str = "text", cols: list[str] | None = None) -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", cols: list[str] | None = None, counts: bool = True) -> DataFrame:
     """Feed all documents to a run store in ``batches`` and drop the lines held by ``min_docs`` documents or more."""
     runs = LineRuns(spark, fanout=fanout)
     for b in range(batches):
@@ -134,7 +132,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_docs: int = 10, batche
     path = f"{runs.path}/frequent"
     runs.counts().where(F.col("n") >= min_docs).select("h1", "h2").write.parquet(path)
     frequent = spark.read.parquet(path)
-    return drop_lines(docs, frequent, id_col, text_col, cols)
+    return drop_lines(docs, frequent, id_col, text_col, cols, counts)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
