@@ -99,7 +99,7 @@ def _cut(length: int):
                     kept, at = [], i
                     for a, b in [*spans, (end - i, end - i)]:
                         if at < i + a:
-                            kept.append(w.bytes(at, i + a))
+                            kept.append(w.spaced(at, i + a))
                         at = i + b
                     out["n_words"].append(end - i)
                     out["n_removed"].append(sum(b - a for a, b in spans))

@@ -103,6 +103,10 @@ class Words:
         raw = self.data
         return sep.join([raw[a:b].tobytes() for a, b in zip(self.start[i:j], self.end[i:j])])
 
+    def spaced(self, i: int, j: int) -> bytes:
+        """``bytes(i, j)`` of words of the class SPACED, whose separators are those of ``bytes.split``."""
+        return b" ".join(self.data[self.start[i]:self.end[j - 1]].tobytes().split()) if j > i else b""
+
 
 def split_words(texts: pa.Array, word_bytes: np.ndarray, lower: bool = False) -> Words:
     texts = texts.fill_null("").cast(pa.large_string())
