@@ -81,7 +81,8 @@ def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
 def repeated_anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
     """The anchors whose seed occurs more than once (written)."""
     occ = stored(anchors(docs, length, k), "anchors")
-    seeds = occ.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
+    # tables of repeated keys are written, so that the joins with them shuffle both sides and may split hot keys
+    seeds = stored(occ.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"), "seeds")
     return stored(occ.join(seeds, "seed", "left_semi"), "repeated-anchors")
 
 
@@ -93,7 +94,7 @@ def contexts(cand: DataFrame) -> DataFrame:
 
 def open_contexts(ctx: DataFrame) -> DataFrame:
     """All contexts of the seeds that have one with a single occurrence."""
-    seeds = ctx.where("n = 1").groupBy("seed").agg(F.count(F.lit(1)).alias("m")).select("seed")
+    seeds = stored(ctx.where("n = 1").groupBy("seed").agg(F.count(F.lit(1)).alias("m")).select("seed"), "open-seeds")
     return ctx.join(seeds, "seed", "left_semi")
 
 
@@ -128,5 +129,5 @@ def window_hashes(texts: DataFrame, length: int) -> DataFrame:
 
 def repeated_windows(windows: DataFrame) -> DataFrame:
     """``id, rk, w`` of the windows of single contexts that some other occurrence has too."""
-    twice = windows.groupBy("h1", "h2").agg(F.sum("n").alias("m")).where("m > 1").select("h1", "h2")
+    twice = stored(windows.groupBy("h1", "h2").agg(F.sum("n").alias("m")).where("m > 1").select("h1", "h2"), "repeated-windows")
     return windows.where("n = 1").join(twice, ["h1", "h2"], "left_semi").select("id", "rk", "w")

@@ -189,7 +189,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, length: int = 50, gr
                          & (by_right["ws"] == b["_ws"])).drop("_seed", "_id", "_rk", "_ws")
     decided = P.stored(both.mapInArrow(_decide(length), f"seed long, id {kind}, rk long, ws int, n long, yes array<int>, open array<int>"), "decided")
     # what the neighbours leave open: windows of the same seeds, by hash
-    seeds = decided.where("n = 1 and size(open) > 0").groupBy("seed").agg(F.count(F.lit(1)).alias("m")).select("seed")
+    seeds = P.stored(decided.where("n = 1 and size(open) > 0").groupBy("seed").agg(F.count(F.lit(1)).alias("m")).select("seed"), "undecided-seeds")
     windows = P.stored(suffixes.join(seeds, "seed", "left_semi").mapInArrow(
         _hash_windows(length), f"h1 long, h2 long, id {kind}, rk long, n long, w int"), "windows")
     spans = (cand.join(ctx.where("n > 1").select("seed", "ctx"), ["seed", "ctx"], "left_semi")
