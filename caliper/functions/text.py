@@ -14,8 +14,10 @@ import unicodedata
 from functools import lru_cache
 from typing import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caliper.functions.stopwords import ENGLISH, topic_stops
 
@@ -158,30 +160,22 @@ def ngrams(tokens, n_min: int = 1, n_max: int = 1) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-# Strip accents (NFKD, combining marks dropped), one-to-one table built by rule.
-@lru_cache(maxsize=1)
-def accent_table(lo: int = 0x00C0, hi: int = 0x024F) -> tuple[str, str, str]:
-    """(matching, replacement, deleted) characters.
-
-    Built once from ``unicodedata`` over Latin-1 Supplement to Latin
-    Extended-B: a character whose NFKD form minus combining marks is a single
-    different character maps to it; combining marks (U+0300-U+036F) are deleted.
-    Multi-character decompositions (ligatures) are left alone.
-    """
-    src, dst = [], []
-    for cp in range(lo, hi + 1):
-        ch = chr(cp)
-        base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-        if len(base) == 1 and base != ch:
-            src.append(ch)
-            dst.append(base)
-    deleted = "".join(chr(cp) for cp in range(0x0300, 0x0370))
-    return "".join(src), "".join(dst), deleted
+# Strip accents (NFKD, combining marks dropped), over all of Unicode.
+@F.pandas_udf(T.StringType())
+def _strip_accents(texts: pd.Series) -> pd.Series:
+    strip = lambda t: None if t is None else "".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x))
+    return texts.map(strip)
 
 
 def strip_accents(c) -> Column:
-    src, dst, deleted = accent_table()
-    return F.translate(_c(c), src + deleted, dst)
+    """Compatibility decomposition without combining marks.
+
+    Spark has no normalisation function, so texts with non-ASCII characters go
+    through an Arrow-batched UDF; all-ASCII texts stay as they are.
+    """
+    c = _c(c)
+    ascii_only = F.length(c) == F.octet_length(c)
+    return F.when(ascii_only, c).otherwise(_strip_accents(F.when(~ascii_only, c)))
 
 
 # X22

@@ -14,6 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caliper.session import stored
 from caliper.operators.ranking import prefix_sums
 
 
@@ -116,11 +117,11 @@ def score_counts(df: DataFrame, label: str, score: str, positive=1) -> DataFrame
             .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
 
-def _cumulated(df: DataFrame, label: str, score: str, positive=1, n_buckets: int = 64) -> DataFrame:
+def _cumulated(df: DataFrame, label: str, score: str, positive=1, n_buckets: int | None = None) -> DataFrame:
     """Per distinct score: counts at or above it (``tps``, ``fps``) and totals ``P``, ``N``."""
-    # (score, pos, neg) is read by the quantiles, the totals and the running sums:
-    # persist it once (it has one row per distinct score, never more than the input)
-    sc = score_counts(df, label, score, positive).persist()
+    # (score, pos, neg) is read by the quantiles, the totals and the running sums: written once
+    # (one row per distinct score), so nothing stays in executor storage
+    sc = stored(score_counts(df, label, score, positive), "score-counts")
     cum = prefix_sums(sc, "score", ["pos", "neg"], n_buckets=n_buckets)
     tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     P, N = tot.select("P").scalar(), tot.select("N").scalar()
@@ -130,28 +131,28 @@ def _cumulated(df: DataFrame, label: str, score: str, positive=1, n_buckets: int
                       P.alias("P"), N.alias("N"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, positive=1, n_buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, positive=1, n_buckets: int | None = None) -> DataFrame:
     """Exact, tie-aware ROC-AUC: ``sum_s pos_s * (neg_below_s + neg_s / 2) / (P * N)``."""
     c = _cumulated(df, label, score, positive, n_buckets)
     return c.agg((F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
                   / (F.first("P").cast("double") * F.first("N"))).alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, label: str, score: str, positive=1, n_buckets: int = 64) -> DataFrame:
+def roc_curve(df: DataFrame, label: str, score: str, positive=1, n_buckets: int | None = None) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score (no intermediate points dropped)."""
     c = _cumulated(df, label, score, positive, n_buckets)
     return c.select(F.col("score").alias("threshold"), (F.col("fps") / F.col("N")).alias("fpr"),
                     (F.col("tps") / F.col("P")).alias("tpr"))
 
 
-def average_precision(df: DataFrame, label: str, score: str, positive=1, n_buckets: int = 64) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str, positive=1, n_buckets: int | None = None) -> DataFrame:
     """Step-wise AP ``sum_n (R_n - R_{n-1}) P_n`` (not the trapezoidal area)."""
     c = _cumulated(df, label, score, positive, n_buckets)
     return c.agg(F.sum((F.col("pos") / F.col("P")) * (F.col("tps") / (F.col("tps") + F.col("fps"))))
                  .alias("average_precision"))
 
 
-def pr_curve(df: DataFrame, label: str, score: str, positive=1, n_buckets: int = 64) -> DataFrame:
+def pr_curve(df: DataFrame, label: str, score: str, positive=1, n_buckets: int | None = None) -> DataFrame:
     """``(threshold, precision, recall)`` from the top score down to the first threshold with full recall."""
     c = _cumulated(df, label, score, positive, n_buckets)
     full = c.where(F.col("tps") == F.col("P")).agg(F.max("score")).scalar()

@@ -59,11 +59,13 @@ def term_contributions(df: DataFrame, key: str, tokens_col: str, coefs: DataFram
                        coef_col: str = "coef", max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Top-k terms of each row by |contribution|.
 
-    Without ``weights_col``: each known token contributes its coefficient
-    (repeats kept).  With ``weights_col`` (an array aligned with the tokens,
+    Without ``weights_col``: each known distinct token contributes its
+    coefficient once.  With ``weights_col`` (an array aligned with the tokens,
     e.g. tf-idf): contribution = weight * coefficient; zeros are dropped
     unless ``drop_zeros=False``.  Ties break by term, then position.
     """
+    if not weights_col:
+        df = df.select(key, F.array_distinct(tokens_col).alias(tokens_col))
     x = explode_tokens(df, [key] + ([weights_col] if weights_col else []), tokens_col, term_col, pos="pos")
     if weights_col:
         x = x.withColumn("w", F.element_at(weights_col, F.col("pos") + 1)).drop(weights_col)
@@ -78,10 +80,11 @@ def term_contributions(df: DataFrame, key: str, tokens_col: str, coefs: DataFram
 
 def known_term_score(df: DataFrame, key: str, tokens_col: str, coefs: DataFrame, intercept: float = 0.0,
                      term_col: str = "term", coef_col: str = "coef") -> DataFrame:
-    """M15 over text: ``sigmoid(b + sum of known-term coefficients)`` per row."""
+    """M15 over text: ``sigmoid(b + sum of known-term coefficients)`` per row; a row without known terms scores ``sigmoid(b)``."""
     x = explode_tokens(df, [key], tokens_col, term_col)
     j = lookup_join(x, coefs.select(term_col, coef_col), on=term_col)
     s = j.groupBy(key).agg(F.count(F.lit(1)).alias("n_known"), F.sum(coef_col).alias("z"))
+    s = df.select(key).join(s, key, "left").select(key, F.coalesce("n_known", F.lit(0)).alias("n_known"), F.coalesce("z", F.lit(0.0)).alias("z"))
     return s.select(key, "n_known", (F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(intercept) + F.col("z"))))).alias("score"))
 
 

@@ -4,17 +4,15 @@ Spark's exact ``percentile`` merges every partition's value->count map into
 one final buffer, so a continuous column's distinct values all meet in one
 task.  Here the same answer (linear interpolation between the order
 statistics at ranks ``floor(p(n-1))`` and ``ceil(p(n-1))``, numpy's and
-pandas' default) comes from distributed steps:
+pandas' default) comes from two aggregations:
 
-1. ``(group, value, cnt)``: one row per distinct value (map-side combined);
-2. per group, ``n_buckets - 1`` approximate boundaries of the distinct values
-   (``percentile_approx``: a bounded sketch per group), kept as a small table;
-3. each distinct value gets its bucket; totals per (group, bucket) give
-   offsets (a window over at most ``n_buckets`` rows per group);
-4. a running count inside each (group, bucket), so a group holding a third
-   of the rows is still spread over ``n_buckets`` window partitions;
-5. the value whose count interval contains each target rank, then the
-   interpolation per (group, probability).
+1. a sketch per group (``percentile_approx``, bounded) brackets each target
+   rank between two values that are certain to enclose it;
+2. one pass counts the rows below each bracket and the distinct values inside
+   it (map-side combined); only what lies inside a bracket - about
+   ``8 / accuracy`` of a group - is ordered.
+
+Values outside the brackets are never shuffled.
 """
 
 from __future__ import annotations
@@ -28,38 +26,38 @@ from caliper.operators.ranking import lookup_join
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    n_buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """Long ``(by..., p, value)``; NULLs ignored; groups with no values are absent."""
-    by = list(by)
+                    accuracy: int = 10000) -> DataFrame:
+    """Long ``(by..., p, value)``; NULLs ignored; groups with no values are absent.
+
+    A larger ``accuracy`` gives larger sketches and narrower brackets.
+    """
+    by, e = list(by), 4.0 / accuracy
     x = df.where(F.col(col).isNotNull()).select(*by, (F.col(col).cast("double") + F.lit(0.0)).alias("v"))
-    vals = x.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("cnt"))
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    g = vals.groupBy(*by) if by else vals.groupBy()
-    bnd = g.agg(F.percentile_approx("v", qs, accuracy).alias("bnd"), F.sum("cnt").alias("n"))
-    gkeys = by if by else []
+    qs = [min(1.0, max(0.0, p + d)) for p in probs for d in (-e, e)]
+    # a group of up to ``accuracy`` rows is all bracket; so is an end that reaches below 0 or above 1
+    st = (x.groupBy(*by) if by else x.groupBy()).agg(
+        F.percentile_approx("v", qs, accuracy).alias("b"), F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+    small = F.col("n") <= accuracy
+    ends = F.array(*[F.struct(
+        F.lit(float(p)).alias("p"),
+        F.when(small | F.lit(p - e <= 0), F.col("mn")).otherwise(F.col("b")[2 * i]).alias("lo"),
+        F.when(small | F.lit(p + e >= 1), F.col("mx")).otherwise(F.col("b")[2 * i + 1]).alias("hi")) for i, p in enumerate(probs)])
+    st = st.where("n > 0").select(*by, "n", ends.alias("ends"))
     if by:
-        vb = lookup_join(vals, bnd, on=by, max_broadcast_rows=100_000)
+        y = lookup_join(x, st, on=by, max_broadcast_rows=100_000)
     else:
-        vb = vals.select("*", bnd.select("bnd").scalar().alias("bnd"), bnd.select("n").scalar().alias("n"))
-    # bucket = number of boundaries strictly below the value (equal values share a bucket)
-    vb = vb.withColumn("_bk", F.size(F.filter("bnd", lambda b: b < F.col("v")))).drop("bnd")
-    tot = vb.groupBy(*gkeys, "_bk").agg(F.sum("cnt").alias("_t"))
-    ow = (Window.partitionBy(*gkeys) if gkeys else Window.partitionBy()).orderBy("_bk")
-    offs = tot.select(*gkeys, "_bk", F.coalesce(F.sum("_t").over(ow.rowsBetween(Window.unboundedPreceding, -1)),
-                                                F.lit(0)).alias("_off"))
-    iw = Window.partitionBy(*gkeys, "_bk").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (vb.join(F.broadcast(offs) if not by else offs, on=gkeys + ["_bk"], how="inner")
-           .withColumn("_hi", F.col("_off") + F.sum("cnt").over(iw))   # ranks [_hi - cnt, _hi) hold v
-           .withColumn("_lo", F.col("_hi") - F.col("cnt")))
-    # target ranks per probability: floor and ceil of p * (n - 1)
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
-    tgt = cum.select(*gkeys, "v", "_lo", "_hi", "n", pr)
+        y = x.withColumn("n", st.select("n").scalar()).withColumn("ends", st.select("ends").scalar())
+    near = F.filter("ends", lambda s: F.col("v") <= s["hi"])
+    z = y.select(*by, "n", "v", F.explode(near).alias("s")).select(
+        *by, "n", F.col("s.p").alias("p"), F.when(F.col("v") >= F.col("s.lo"), F.col("v")).alias("v"))   # null: below the bracket
+    c = z.groupBy(*by, "p", "v").agg(F.count(F.lit(1)).alias("cnt"), F.first("n").alias("n"))
+    w = Window.partitionBy(*by, "p").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    c = c.withColumn("_hi", F.sum("cnt").over(w)).withColumn("_lo", F.col("_hi") - F.col("cnt"))         # ranks [_lo, _hi) hold v
     pos = F.col("p") * (F.col("n") - 1)
     r_lo, r_hi = F.floor(pos), F.ceil(pos)
     hit_lo = (F.col("_lo") <= r_lo) & (r_lo < F.col("_hi"))
     hit_hi = (F.col("_lo") <= r_hi) & (r_hi < F.col("_hi"))
-    picked = tgt.where(hit_lo | hit_hi).groupBy(*gkeys, "p").agg(
-        F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"), F.max(F.when(hit_hi, F.col("v"))).alias("v_hi"),
-        F.first("n").alias("n"))
+    picked = c.where(hit_lo | hit_hi).groupBy(*by, "p").agg(
+        F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"), F.max(F.when(hit_hi, F.col("v"))).alias("v_hi"), F.first("n").alias("n"))
     frac = F.col("p") * (F.col("n") - 1) - F.floor(F.col("p") * (F.col("n") - 1))
-    return picked.select(*gkeys, "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))
+    return picked.select(*by, "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias("value"))

@@ -12,9 +12,8 @@ None of these moves a whole table, partition or group through one task:
   give offsets, and the running sum is a window inside each bucket.
 * ``top_k``: ``row_number() <= k`` per group; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so a hot group is cut map-side.
-* ``lookup_join``: broadcast only under a bound known by construction or
-  counted on the persisted lookup side; otherwise a salted shuffle join so a
-  hot key spreads over tasks.
+* ``lookup_join``: broadcast only under a bound known by construction;
+  otherwise adaptive execution decides by the measured size and splits hot keys.
 """
 
 from __future__ import annotations
@@ -42,16 +41,6 @@ def hash_bucket(h: Column, digits: int = DEFAULT_HASH_DIGITS) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
 
-def _maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a small table only after counting it under the bound.
-
-    The table is persisted first, so the count materialises it once and the
-    join reads the cached rows instead of recomputing its lineage.
-    """
-    df = df.persist()
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 SUPER_BITS = 10  # buckets are grouped 1024 at a time for the two-level running count
 
 
@@ -70,7 +59,6 @@ def _bucket_running_count(counts: DataFrame, cls: list, max_broadcast_rows: int)
                      F.coalesce(F.sum("_scnt").over(sw.rowsBetween(Window.unboundedPreceding, -1)),
                                 F.lit(0)).alias("_soff"),
                      F.sum("_scnt").over(Window.partitionBy(*cls) if cls else Window.partitionBy()).alias("_n"))
-    sup = _maybe_broadcast(sup, max_broadcast_rows)
     iw = Window.partitionBy(*cls, "_hi").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     return (c.join(sup, on=cls + ["_hi"], how="inner")
             .withColumn("_cum", F.col("_soff") + F.sum("_cnt").over(iw)).drop("_hi", "_soff"))
@@ -108,8 +96,7 @@ def top_fraction(df: DataFrame, keys, fraction: float | None = None, n: int | No
             .select(*cls, F.col("_e._b").alias("_eb"),
                     (F.col("_e._k") - (F.col("_e._cum") - F.col("_e._cnt"))).alias("_need")))
     if cls:
-        edge = _maybe_broadcast(edge, max_broadcast_rows)
-        y = x.join(edge, on=cls, how="left")
+            y = x.join(edge, on=cls, how="left")
     else:
         # one global class: the edge is a single row, read as scalar subqueries
         y = x.withColumn("_eb", edge.select("_eb").scalar()).withColumn("_need", edge.select("_need").scalar())
@@ -137,31 +124,33 @@ def hash_rank(df: DataFrame, keys, class_col: str | None = None, seed: int = 42,
     counts = x.groupBy(*cls, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = _bucket_running_count(counts, cls, max_broadcast_rows).select(
         *cls, "_b", (F.col("_cum") - F.col("_cnt")).alias("_off"))
-    offs = _maybe_broadcast(offs, max_broadcast_rows)
     rw = Window.partitionBy(*cls, "_b").orderBy("_h", *keys)
     return (x.join(offs, on=cls + ["_b"], how="inner")
             .withColumn(rank_col, (F.col("_off") + F.row_number().over(rw) - 1).cast("long"))
             .drop("_h", "_b", "_off"))
 
 
-def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], n_buckets: int = 64,
-                rel_error: float = 1e-4, prefix: str = "cum_") -> DataFrame:
+def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], n_buckets: int | None = None,
+                bucket_rows: int = 200_000, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``value_cols`` in ascending ``order_col`` order.
 
     ``order_col`` must be unique per row (group by it first: curves collapse tied
     scores into one row).  Quantile boundaries are fetched once and become
-    literals, so the bucket of a row is a pure function of its value.
+    literals, so the bucket of a row is a pure function of its value.  There is a
+    bucket for about every ``bucket_rows`` rows, so a window task stays that
+    small however many distinct values there are.
     """
     from pyspark.ml.feature import Bucketizer
 
+    n_buckets = n_buckets or max(8, math.ceil(df.count() / bucket_rows))
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(df.approxQuantile(order_col, qs, rel_error))) if n_buckets > 1 else []
+    bounds = sorted(set(df.approxQuantile(order_col, qs, 0.1 / n_buckets))) if n_buckets > 1 else []
     splits = [-math.inf] + [b for b in bounds if math.isfinite(b)] + [math.inf]
     x = (Bucketizer(splits=splits, inputCol=order_col, outputCol="_bk", handleInvalid="keep")
          .transform(df.withColumn(order_col, F.col(order_col).cast("double")))
          .withColumn("_bk", F.col("_bk").cast("int")))
     tot = x.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    ow = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
+    ow = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
     offs = tot.select("_bk", *[F.coalesce(F.sum(f"_t_{v}").over(ow), F.lit(0)).alias(f"_o_{v}")
                                for v in value_cols])
     iw = Window.partitionBy("_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
@@ -180,25 +169,16 @@ def top_k(df: DataFrame, group_cols, order_cols: Sequence[Column], k: int, rank_
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = 32,
-                salt_source: Column | None = None, bound: int | None = None) -> DataFrame:
-    """Join a lookup table whose size is checked, never assumed.
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, bound: int | None = None) -> DataFrame:
+    """Join a lookup table.
 
     ``bound`` states a size known by construction (a vocabulary capped by
-    ``max_features``): under the limit it is broadcast without a count.
-    Otherwise the lookup side is persisted and counted; under the limit it is
-    broadcast (no shuffle of ``big``).  Above it the big side gets a salt and
-    the lookup side is replicated ``salts`` times, so a key holding a third of
-    the rows is spread over ``salts`` tasks.
+    ``max_features``): under the limit it is broadcast.  Otherwise the join is
+    left to adaptive execution, which broadcasts the lookup side if its measured
+    size allows it and splits a key that holds a third of the rows if not; no
+    job runs and nothing is cached while the plan is built.
     """
     on = _cols(on)
     if bound is not None and bound <= max_broadcast_rows:
         return big.join(F.broadcast(small), on=on, how=how)
-    small = small.persist()
-    if small.count() <= max_broadcast_rows:
-        return big.join(F.broadcast(small), on=on, how=how)
-    salt = (F.abs(F.xxhash64(*(salt_source is not None and [salt_source] or [F.col(c) for c in big.columns])))
-            % salts).cast("int")
-    b = big.withColumn("_salt", salt)
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, on=on + ["_salt"], how=how).drop("_salt")
+    return big.join(small, on=on, how=how)

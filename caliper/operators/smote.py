@@ -1,12 +1,12 @@
 """Exact k-nearest neighbours (J4) and SMOTE oversampling.
 
-kNN never materialises all pairs.  The reference set is cut into chunks of
-at most ``chunk_rows`` rows (by hash rank, so chunks are stable); each chunk
-is a bounded matrix broadcast to the tasks, every query partition computes
-its distances to the chunk with numpy (Arrow batches through
-``mapInPandas``) and emits only its k best per chunk.  A final top-k over the
-per-chunk winners is exact.  Cost is the inherent n_query x n_ref distance
-work; rows emitted are n_query x k x chunks.
+kNN works on blocks.  Both sides are cut into blocks of about ``block_rows``
+rows by a hash of the key; every pair of a query block and a reference block
+meets in one task, which computes the distances from coordinate differences
+(no expanded squares, so nothing cancels) and emits each query row's k best of
+that block, all candidates counted.  A final top-k over the per-block winners
+is exact.  Nothing passes through the driver; a task holds two blocks; rows
+emitted are ``n_query * k * blocks``.
 
 SMOTE replicates each minority row a bounded number of times (the
 oversampling ratio), picks the neighbour and the gap from hashes of
@@ -26,62 +26,48 @@ from pyspark.sql import functions as F
 from caliper.operators.ranking import hash_rank, top_k
 
 
-def knn(query: DataFrame, ref: DataFrame, key: str, vec_col: str, k: int = 5, exclude_self: bool = True,
-        chunk_rows: int = 20_000, seed: int = 42) -> DataFrame:
-    """``(key, rank, nn_key, dist)``: the k nearest ``ref`` rows of every ``query`` row (Euclidean, ties by key)."""
-    spark = query.sparkSession
-    r = hash_rank(ref.select(key, vec_col), key, seed=seed, rank_col="_r")
-    n_ref = ref.count()
-    n_chunks = max(1, math.ceil(n_ref / chunk_rows))
-    key_type = query.schema[key].dataType.simpleString()
-    parts = []
-    for c in range(n_chunks):
-        rows = (r.where((F.col("_r") >= c * chunk_rows) & (F.col("_r") < (c + 1) * chunk_rows))
-                .select(key, F.col(vec_col).cast("array<double>").alias("v")).collect())  # <= chunk_rows rows
-        keys = np.array([row[0] for row in rows])
-        mat = np.array([row[1] for row in rows], dtype=np.float64)
-        bc = spark.sparkContext.broadcast((keys, mat))
-        kk = min(k + (1 if exclude_self else 0), len(keys))
-
-        def nearest(it, bc=bc, kk=kk):
-            ks, m = bc.value
-            m2 = (m * m).sum(axis=1)
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                q = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-                d2 = (q * q).sum(axis=1)[:, None] + m2[None, :] - 2.0 * q @ m.T
-                np.maximum(d2, 0.0, out=d2)
-                qk = pdf[key].to_numpy()
+def _nearest_in_block(key: str, k: int, exclude_self: bool, rows_at_once: int = 256):
+    """The k nearest rows of a reference block for every row of a query block (ties by key)."""
+    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            right = right.sort_values(key, kind="stable")
+            names, m = right[key].to_numpy(), np.stack(right["v"].to_numpy()).astype(np.float64)
+            for a in range(0, len(left), rows_at_once):
+                part = left.iloc[a:a + rows_at_once]
+                q, mine = np.stack(part["v"].to_numpy()).astype(np.float64), part[key].to_numpy()
+                d2 = np.zeros((len(q), len(m)))
+                for j in range(m.shape[1]):
+                    d2 += (q[:, j, None] - m[None, :, j]) ** 2
                 if exclude_self:
-                    d2[qk[:, None] == ks[None, :]] = np.inf
-                # candidates by the expanded form, then exact distances from differences,
-                # so cancellation in |q|^2 + |m|^2 - 2 q.m cannot reorder near ties
-                kc = min(kk + 8, d2.shape[1])
-                idx = np.argpartition(d2, kc - 1, axis=1)[:, :kc] if kc < d2.shape[1] else np.tile(
-                    np.arange(d2.shape[1]), (d2.shape[0], 1))
-                out_q, out_n, out_d = [], [], []
-                for i in range(d2.shape[0]):
-                    cj = [j for j in idx[i] if np.isfinite(d2[i, j])]
-                    ex = ((m[cj] - q[i]) ** 2).sum(axis=1) if cj else []
-                    cand = sorted(zip(ex, ks[cj]), key=lambda t: (t[0], t[1]))
-                    for dist, nk in cand[:k]:
-                        out_q.append(qk[i])
-                        out_n.append(nk)
-                        out_d.append(float(np.sqrt(dist)))
-                yield pd.DataFrame({key: out_q, "nn_key": out_n, "dist": out_d})
+                    d2[mine[:, None] == names[None, :]] = np.inf
+                best = np.argsort(d2, axis=1, kind="stable")[:, :k]       # names are sorted: a stable sort breaks ties by key
+                dist = np.take_along_axis(d2, best, axis=1)
+                row, col = np.nonzero(np.isfinite(dist))
+                out.append(pd.DataFrame({key: mine[row], "nn_key": names[best[row, col]], "dist": np.sqrt(dist[row, col])}))
+        return pd.concat(out) if out else pd.DataFrame({key: [], "nn_key": [], "dist": []})
+    return nearest
 
-        parts.append(query.select(key, F.col(vec_col).cast("array<double>").alias("v")).mapInPandas(
-            nearest, f"{key} {key_type}, nn_key {key_type}, dist double"))
-    allc = parts[0]
-    for p in parts[1:]:
-        allc = allc.unionByName(p)
-    return top_k(allc, key, [F.col("dist").asc(), F.col("nn_key").asc()], k, rank_col="rank").select(
+
+def knn(query: DataFrame, ref: DataFrame, key: str, vec_col: str, k: int = 5, exclude_self: bool = True,
+        block_rows: int = 4096) -> DataFrame:
+    """``(key, rank, nn_key, dist)``: the k nearest ``ref`` rows of every ``query`` row (Euclidean, ties by key)."""
+    blocks = lambda df: max(1, math.ceil(df.count() / block_rows))
+    nq, nr = blocks(query), blocks(ref)
+    block = lambda df, n: (F.pmod(F.xxhash64(F.col(key)), F.lit(n))).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    v = F.col(vec_col).cast("array<double>").alias("v")
+    left = query.select(key, v, block(query, nq).alias("qb"), every(nr).alias("rb"))
+    right = ref.select(key, v, block(ref, nr).alias("rb"), every(nq).alias("qb"))
+    kind = query.schema[key].dataType.simpleString()
+    best = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInPandas(
+        _nearest_in_block(key, k, exclude_self), f"{key} {kind}, nn_key {kind}, dist double")
+    return top_k(best, key, [F.col("dist").asc(), F.col("nn_key").asc()], k, rank_col="rank").select(
         key, "rank", "nn_key", "dist")
 
 
 def smote(df: DataFrame, key: str, vec_col: str, label_col: str, minority=1, k: int = 5, seed: int = 42,
-          ratio: float = 1.0, chunk_rows: int = 20_000) -> DataFrame:
+          ratio: float = 1.0, block_rows: int = 4096) -> DataFrame:
     """Add synthetic minority rows until ``n_min = ratio * n_maj``; returns original + synthetic rows.
 
     Synthetic rows get ``key = '<seed key>#s<copy>'`` (string) and ``synthetic = true``.
@@ -96,15 +82,15 @@ def smote(df: DataFrame, key: str, vec_col: str, label_col: str, minority=1, k:
     if n_new == 0 or n_min < 2:
         return base
     per, extra = divmod(n_new, n_min)
-    nn = knn(mino, mino, key, vec_col, k=k, chunk_rows=chunk_rows, seed=seed)
+    nn = knn(mino, mino, key, vec_col, k=k, block_rows=block_rows)
     kk = min(k, n_min - 1)
     seeds = hash_rank(mino, key, seed=seed, rank_col="_r")
     copies = F.when(F.col("_r") < extra, per + 1).otherwise(per)
     rep = (seeds.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
            .where(copies > 0))
     h = F.xxhash64(F.col(key), F.col("copy"), F.lit(seed))
-    rep = (rep.withColumn("rank", (F.abs(h) % kk + 1).cast("int"))
-           .withColumn("u", (F.abs(F.xxhash64(F.col(key), F.col("copy"), F.lit(seed + 1))) % 1_000_000) / 1e6))
+    rep = (rep.withColumn("rank", (F.pmod(h, F.lit(kk)) + 1).cast("int"))
+           .withColumn("u", F.pmod(F.xxhash64(F.col(key), F.col("copy"), F.lit(seed + 1)), F.lit(1_000_000)) / 1e6))
     j = rep.join(nn.select(key, "rank", "nn_key"), on=[key, "rank"], how="inner")
     vecs = mino.select(F.col(key).alias("nn_key"), F.col(vec_col).cast("array<double>").alias("_nv"))
     j = j.join(vecs, on="nn_key", how="inner")

@@ -34,8 +34,7 @@ def map_tokens(df: DataFrame, key: str, tokens_col: str, mapping: DataFrame, out
     out_col = out_col or tokens_col
     ex = explode_tokens(df, [key], tokens_col, token_col, pos="_pos")
     m = mapping.select(token_col, mapped_col)
-    j = lookup_join(ex, m, on=token_col, how="left", max_broadcast_rows=max_broadcast_rows,
-                    salt_source=F.xxhash64(F.col(key), F.col("_pos")))
+    j = lookup_join(ex, m, on=token_col, how="left", max_broadcast_rows=max_broadcast_rows)
     j = j.select(key, "_pos", F.coalesce(F.col(mapped_col), F.col(token_col)).alias("_t"))
     back = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_t"))).alias("_s"))
     back = back.select(key, F.transform("_s", lambda s: s["_t"]).alias("_mapped"))

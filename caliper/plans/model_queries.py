@@ -41,8 +41,8 @@ def _bench_tokens(t: Tables):
 @query("j3_term_coefficients", "J3 M15", sql=f"""
 WITH {COEFS_SQL},
 b AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS term FROM benchmark)
-SELECT item_id, count(*) AS n_known, {R('1.0 / (1.0 + exp(-(0.0 + sum(coef))))')} AS score
-FROM b JOIN coefs ON b.term = coefs.term GROUP BY item_id""")
+SELECT item_id, count(coef) AS n_known, {R('1.0 / (1.0 + exp(-(0.0 + coalesce(sum(coef), 0.0))))')} AS score
+FROM benchmark LEFT JOIN b USING (item_id) LEFT JOIN coefs ON b.term = coefs.term GROUP BY item_id""")
 def term_coefficients(spark, sf):
     t = Tables(spark, sf)
     return XP.known_term_score(_bench_tokens(t), "item_id", "toks", logodds_coefs(t))
@@ -50,16 +50,61 @@ def term_coefficients(spark, sf):
 
 @query("e19_top_contributions", "E19 J3", sql=f"""
 WITH {COEFS_SQL},
-b AS (SELECT item_id, unnest(toks) AS term, generate_subscripts(toks, 1) AS pos
-      FROM (SELECT item_id, regexp_extract_all(lower(text), '{WORD_RE}') AS toks FROM benchmark)),
-j AS (SELECT item_id, pos, b.term, coef FROM b JOIN coefs ON b.term = coefs.term)
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS term FROM benchmark),
+j AS (SELECT item_id, b.term, coef FROM b JOIN coefs ON b.term = coefs.term)
 SELECT item_id, CAST(rk AS INTEGER) AS rank, term, {R('coef')} AS contribution FROM (
-  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY abs(coef) DESC, term, pos) AS rk FROM j) WHERE rk <= 5""")
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY abs(coef) DESC, term) AS rk FROM j) WHERE rk <= 5""")
 def top_contributions(spark, sf):
     t = Tables(spark, sf)
     return XP.term_contributions(_bench_tokens(t), "item_id", "toks", logodds_coefs(t), k=5)
 
 
+TFIDF_CONTRIB_SQL = f"""
+WITH {COEFS_SQL},
+n AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT term, count(DISTINCT doc_id) AS df FROM (
+         SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS term FROM documents) GROUP BY 1),
+tf AS (SELECT item_id, term, count(*) AS tf FROM (
+         SELECT item_id, unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS term FROM benchmark) GROUP BY 1, 2),
+w AS (SELECT item_id, term, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS x FROM tf JOIN df USING (term), n),
+c AS (SELECT w.item_id, w.term, x / sqrt(s) * coef AS c
+      FROM w JOIN (SELECT item_id, sum(x * x) AS s FROM w GROUP BY 1) USING (item_id) JOIN coefs USING (term))
+"""
+
+
+def _tfidf_contributions(t: Tables):
+    """(item_id, term, contribution): tf-idf (smooth, L2) times coefficient."""
+    from caliper.operators import features as FT
+    n = t.documents.agg(F.count(F.lit(1))).scalar()
+    docs = t.documents.select("doc_id", X.word_tokens(X.lower("text")).alias("toks"))
+    vocab = FT.document_frequency(FT.term_frequencies(docs, "doc_id", "toks")).withColumn("idx", F.lit(0))
+    w = FT.tfidf(FT.term_frequencies(_bench_tokens(t), "item_id", "toks"), vocab, n, "item_id")
+    return w.join(logodds_coefs(t), "term").select("item_id", "term", (F.col("weight") * F.col("coef")).alias("contribution"))
+
+
+@query("e19b_tfidf_contributions", "E19 J3 F6", sql=TFIDF_CONTRIB_SQL + f"""
+SELECT item_id, CAST(rk AS INTEGER) AS rank, term, {R('c')} AS contribution FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(abs(c), 9) DESC, term) AS rk FROM c WHERE c <> 0) WHERE rk <= 5""")
+def tfidf_contributions(spark, sf):
+    """Form (b): the five strongest tf-idf x coefficient terms of each item."""
+    from caliper.operators.ranking import top_k
+    c = _tfidf_contributions(Tables(spark, sf)).where(F.col("contribution") != 0)
+    return top_k(c, "item_id", [F.round(F.abs("contribution"), 9).desc(), F.col("term")], 5, rank_col="rank").select(
+        "item_id", "rank", "term", "contribution")
+
+
+@query("e19c_signed_contributions", "E19 J3 F6", sql=TFIDF_CONTRIB_SQL + f"""
+SELECT item_id, CASE WHEN c > 0 THEN 'for' ELSE 'against' END AS side, CAST(rk AS INTEGER) AS rank, term, {R('c')} AS contribution FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, c > 0 ORDER BY round(abs(c), 9) DESC, term) AS rk FROM c WHERE c <> 0) WHERE rk <= 5""")
+def signed_contributions(spark, sf):
+    """Form (c): the five strongest terms for and against the positive class of each item."""
+    from caliper.operators.ranking import top_k
+    c = _tfidf_contributions(Tables(spark, sf)).where(F.col("contribution") != 0)
+    c = c.withColumn("side", F.when(F.col("contribution") > 0, "for").otherwise("against"))
+    return top_k(c, ["item_id", "side"], [F.round(F.abs("contribution"), 9).desc(), F.col("term")], 5, rank_col="rank").select(
+        "item_id", "side", "rank", "term", "contribution")
+
+
 @query("e18_top_bottom_terms", "E18", sql=f"""
 WITH {COEFS_SQL}
 (SELECT 'positive' AS side, term, {R('coef')} AS coef FROM coefs ORDER BY coefs.coef DESC, term LIMIT 20)
@@ -168,7 +213,7 @@ def rf_classifier_balanced(spark, sf):
                     + [M.random_forest_classifier(300, 12, weight_col="weight")])
     model = pipe.fit(train)
     names = XP.feature_names(model.transform(train.limit(1)))
-    return XP.importance_table(spark, names, model.stages[-1].featureImportances).limit(10)
+    return XP.importance_table(spark, names, model.stages[-1].featureImportances)
 
 
 def _orders(t: Tables):
@@ -190,7 +235,7 @@ def gbt_regressor(spark, sf):
 def what_if(spark, sf):
     d = _orders(Tables(spark, sf)).cache()
     pipe = Pipeline(stages=M.tabular_stages(["cust_bucket"], ["o_orderstatus", "o_orderpriority"])
-                    + [M.gbt_regressor(20, 0.1, 3)])
+                    + [M.gbt_regressor(100, 0.1, 3)])
     model = pipe.fit(d.where("split = 'train'"))
     scen = {"status_f": (F.col("o_orderstatus") != "F", {"o_orderstatus": F.lit("F")}),
             "medium": (F.col("o_orderpriority") == "1-URGENT", {"o_orderpriority": F.lit("3-MEDIUM")})}

@@ -76,3 +76,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for a written intermediate table."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df, name: str):
+    """``df`` written under the shared folder and read back: computed once, lineage cut, nothing cached."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

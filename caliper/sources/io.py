@@ -18,35 +18,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table; column pruning and filter pushdown are Catalyst's."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
-    """Scan-parallelism guard: repartition when a scan yields fewer partitions
-    than the cluster's default parallelism.
-
-    A file written as one large row group can only be read by one task, which
-    would then run all the per-row work (regexes, hashing) alone.  On a real
-    input (thousands of files and row groups) the scan already has more
-    partitions than cores and this is a no-op.  With ``keys`` the rows are
-    hash-partitioned on the table's key: deterministic on retry without the
-    local sort a round-robin repartition needs, and later joins on the key can
-    reuse the partitioning.  Column pruning and filters still reach the scan.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001  (sessions without RDD access: leave the scan as it is)
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    """Parquet scan of one driver table, NaN as NULL; column pruning and filter pushdown are Catalyst's."""
+    return nan_to_null(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Replace NaN by NULL in floating columns (pandas' notion of missing)."""
     fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     cols = [c for c in (cols or fl) if c in fl]
+    if not cols:
+        return df
     return df.select(*[F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)).alias(c)
                        if c in cols else F.col(c) for c in df.columns])
 
@@ -130,9 +111,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.format(fmt).save(path)
 
 
-def write_metrics_json(df: DataFrame, path: str) -> None:
-    """A one-row (or long) metrics frame as JSON lines, one file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_metrics_json(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """A metrics frame as JSON lines; ``one_file=False`` for frames that grow with the data."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").json(path)
+
+
+def write_records_json(df: DataFrame, path: str, key: str) -> None:
+    """Records-orient variant: one JSON array of the rows, in key order, for frames of a bounded number of rows."""
+    one = df.agg(F.to_json(F.array_sort(F.collect_list(F.struct(key, *[c for c in df.columns if c != key])))).alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(path)
 
 
 # S9 -------------------------------------------------------------------------

@@ -57,7 +57,7 @@ def test_knn_matches_brute_force(spark):
     rng = np.random.default_rng(1)
     X = rng.random((60, 4))
     df = spark.createDataFrame([(i, X[i].tolist()) for i in range(60)], "k long, v array<double>")
-    got = {(r.k, r.rank): r.nn_key for r in SM.knn(df, df, "k", "v", k=3, chunk_rows=25).collect()}
+    got = {(r.k, r.rank): r.nn_key for r in SM.knn(df, df, "k", "v", k=3, block_rows=25).collect()}
     for i in range(60):
         d = ((X - X[i]) ** 2).sum(1)
         d[i] = np.inf

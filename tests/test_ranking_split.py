@@ -94,16 +94,6 @@ def test_lookup_join_salted_path(spark):
     assert sorted(a.select("k", "v").collect()) == sorted(b.select("k", "v").collect())
 
 
-def test_spread_guard(spark):
-    from caliper.sources.io import spread
-    one = spark.range(100).coalesce(1)
-    wide = spread(one, ["id"])
-    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r.id for r in wide.collect()) == list(range(100))
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism + 2)
-    assert spread(many, ["id"]) is many  # enough partitions already: untouched
-
-
 def test_explode_tokens_keeps_rows_and_skips_empty(spark):
     from caliper.functions.text import explode_tokens
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, []), (3, None)], "k int, t array<string>")
