@@ -105,7 +105,7 @@ def _feature_rows(text_col: str, dim: int):
     return run
 
 
-def train(docs: DataFrame, sample_rows: int = 2400, dim: int = 4096, ridge: float = 0.05, id_col: str = "doc_id",
+def train(docs: DataFrame, sample_rows: int = 1600, dim: int = 4096, ridge: float = 0.05, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on labelled rows of ``docs`` (null texts and languages are left out)."""
     docs = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
