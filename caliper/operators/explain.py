@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from caliper.functions.text import explode_tokens
 from caliper.operators.evaluate import f1_expr
+from caliper.session import stored
 from caliper.operators.ranking import hash_rank, lookup_join, top_k
 
 
@@ -89,34 +90,40 @@ def known_term_score(df: DataFrame, key: str, tokens_col: str, coefs: DataFrame,
 
 
 # E17 / J6 ---------------------------------------------------------------------------
+def permuted_copies(base: DataFrame, key: str, column: str, n_repeats: int, seed: int = 42) -> DataFrame:
+    """``n_repeats`` copies of ``base`` (with its ``pos`` from ``hash_rank``), ``column`` shuffled in each (``rep``).
+
+    A row takes the column from the row at its shuffled position,
+    ``rank of md5(key|pair)``; the donor side is two columns wide and is not
+    copied per repeat.
+    """
+    x = base.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
+    x = x.withColumn("_pair", F.concat(F.lit(f"{column}#"), F.col("rep").cast("string")))
+    x = x.withColumn("_k2", F.concat_ws("|", F.col(key).cast("string"), "_pair"))
+    shuffled = hash_rank(x, "_k2", class_col="_pair", seed=seed, rank_col="_spos")
+    donor = base.select(F.col("pos").alias("_spos"), F.col(column).alias("_donor"))
+    return shuffled.join(donor, "_spos").withColumn(column, F.col("_donor")).drop("_k2", "_pair", "_spos", "_donor")
+
+
 def permutation_importance(model, test: DataFrame, key: str, columns: Sequence[str], label_col: str = "label",
                            n_repeats: int = 10, seed: int = 42, top: int | None = 10,
                            prediction_col: str = "prediction") -> DataFrame:
-    """Mean drop of class-1 F1 when one raw column is shuffled, per column; all (column, repeat) in one job.
+    """Mean drop of class-1 F1 when one raw column is shuffled, per column.
 
-    Each (column, repeat) pair is a class of ``hash_rank``: rows are ranked by
-    ``md5(key|seed)`` (their position) and by ``md5(key|pair)`` (the shuffled
-    position); a row takes column c from the row at its shuffled position via
-    an equi-join on (pair, rank).  The fitted pipeline scores every copy once.
+    Rows are ranked once (written) and columns go through in batches of one:
+    each batch scores ``n_repeats`` copies and leaves ``n_repeats`` numbers, so
+    the test split is never held columns x repeats times.
     """
-    base = hash_rank(test, key, seed=seed, rank_col="pos")
-    x = base.withColumn("pair", F.explode(F.array(*[F.lit(f"{c}#{r}") for c in columns for r in range(n_repeats)])))
-    x = x.withColumn("perm_col", F.split("pair", "#")[0]).withColumn("rep", F.split("pair", "#")[1].cast("int"))
-    shuffled = hash_rank(x.withColumn("_k2", F.concat_ws("|", F.col(key).cast("string"), "pair")),
-                         "_k2", class_col="pair", seed=seed, rank_col="spos").drop("_k2")
-    donor = x.select("pair", F.col("pos").alias("spos"), *[F.col(c).alias(f"__d_{c}") for c in columns])
-    j = shuffled.join(donor, on=["pair", "spos"], how="inner")
-    for c in columns:
-        j = j.withColumn(c, F.when(F.col("perm_col") == c, F.col(f"__d_{c}")).otherwise(F.col(c)))
-    j = j.drop(*[f"__d_{c}" for c in columns])
-    scored = model.transform(j)
+    base = stored(hash_rank(test, key, seed=seed, rank_col="pos"), "permutation-base")
     y, p = F.col(label_col) == 1, F.col(prediction_col) == 1
-    per = scored.groupBy("perm_col", "rep").agg(f1_expr(F.count_if(y & p), F.count_if(~y & p), F.count_if(y & ~p)).alias("f1"))
-    bs = model.transform(test)
-    base_f1 = bs.agg(f1_expr(F.count_if((F.col(label_col) == 1) & (F.col(prediction_col) == 1)),
-                             F.count_if((F.col(label_col) != 1) & (F.col(prediction_col) == 1)),
-                             F.count_if((F.col(label_col) == 1) & (F.col(prediction_col) != 1)))).scalar()
-    out = per.groupBy("perm_col").agg((base_f1 - F.avg("f1")).alias("importance_mean"),
-                                      F.stddev_pop("f1").alias("importance_std"))
-    out = out.withColumnRenamed("perm_col", "feature").orderBy(F.col("importance_mean").desc(), "feature")
+    f1 = f1_expr(F.count_if(y & p), F.count_if(~y & p), F.count_if(y & ~p)).alias("f1")
+    base_f1 = model.transform(base).agg(f1).first()["f1"]
+    rows = []
+    for c in columns:
+        drops = [float(base_f1) - float(r["f1"]) for r in
+                 model.transform(permuted_copies(base, key, c, n_repeats, seed)).groupBy("rep").agg(f1).collect()]
+        mean = sum(drops) / len(drops)
+        rows.append((c, mean, (sum((d - mean) ** 2 for d in drops) / len(drops)) ** 0.5))
+    out = test.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
+    out = out.orderBy(F.col("importance_mean").desc(), "feature")
     return out.limit(top) if top else out

@@ -52,8 +52,11 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
     def _fit(self, df: DataFrame) -> SQLTransformer:
         cols, suf = self.getInputCols(), self.getOrDefault(self.suffix)
         from caliper.operators.quantiles import exact_quantiles
-        med = {c: exact_quantiles(df, c, [0.5]).first()["value"] for c in cols}  # one number per column
-        exprs = [f"coalesce(CAST({_q(c)} AS DOUBLE), {float(med[c])!r}) AS {_q(c + suf)}" for c in cols]
+        # all columns in one grouped call; one number per column, none for a column without values
+        stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(_q(c)).cast("double").alias("v")) for c in cols])).alias("s"))
+        med = {r["c"]: r["value"] for r in exact_quantiles(stacked.select("s.c", "s.v"), "v", [0.5], by=["c"]).collect()} if cols else {}
+        fill = lambda c: repr(float(med[c])) if c in med else "CAST(NULL AS DOUBLE)"
+        exprs = [f"coalesce(CAST({_q(c)} AS DOUBLE), {fill(c)}) AS {_q(c + suf)}" for c in cols]
         return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
 
 
@@ -167,13 +170,18 @@ def f1_evaluator(label_col="label", prediction_col="prediction") -> MulticlassCl
 
 
 def grid_search(estimator, param_grid: dict, fold_col: str, label_col="label", parallelism: int = 4,
-                seed: int = 42) -> CrossValidator:
+                seed: int = 42, n_folds: int = 3) -> CrossValidator:
     """Grid search scored by class-1 F1 over precomputed stratified folds; best params refit on all rows."""
     b = ParamGridBuilder()
     for p, vals in param_grid.items():
         b = b.addGrid(p, list(vals))
     return CrossValidator(estimator=estimator, estimatorParamMaps=b.build(), evaluator=f1_evaluator(label_col),
-                          foldCol=fold_col, parallelism=parallelism, seed=seed)
+                          foldCol=fold_col, numFolds=n_folds, parallelism=parallelism, seed=seed)
+
+
+def refit_penalty(C: float, n_rows: float) -> float:
+    """``regParam`` of sklearn's ``C`` for a fit on ``n_rows`` rows; folds and refit have different row counts."""
+    return 1.0 / (C * n_rows)
 
 
 def cv_summary(cv_model) -> list[tuple[dict, float, float]]:

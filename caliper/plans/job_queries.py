@@ -58,12 +58,77 @@ def knn_minority(spark, sf):
     return SM.knn(m, m, "vec_id", "embedding", k=5).select("vec_id", "rank", "nn_key")
 
 
-@query("f10_smote", "F10 J4")
+@query("j4_knn_offset", "J4", sql="""
+WITH m AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) + 1e8) AS v FROM embeddings WHERE label = 0),
+p AS (SELECT a.vec_id, b.vec_id AS nn_key,
+             list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2
+      FROM m a JOIN m b ON a.vec_id <> b.vec_id)
+SELECT vec_id, CAST(rk AS INTEGER) AS rank, nn_key FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, nn_key) AS rk FROM p) WHERE rk <= 5""")
+def knn_offset(spark, sf):
+    """Vectors far from the origin, where expanded squares cancel."""
+    m = Tables(spark, sf).embeddings.where(F.col("label") == 0).select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double") + F.lit(1e8)).alias("v"))
+    return SM.knn(m, m, "vec_id", "v", k=5, block_rows=100).select("vec_id", "rank", "nn_key")
+
+
+@query("f10_smote", "F10 J4", sql="""
+WITH c AS (SELECT count(*) FILTER (WHERE label = 0) AS mino, count(*) FILTER (WHERE label <> 0) AS majo FROM embeddings)
+SELECT * FROM (SELECT 0 AS y, FALSE AS synthetic, majo AS count, 0.0 AS off_segment FROM c
+               UNION ALL SELECT 1, FALSE, mino, 0.0 FROM c
+               UNION ALL SELECT 1, TRUE, greatest(majo - mino, 0), 0.0 FROM c) WHERE count > 0""")
 def smote_counts(spark, sf):
     """SMOTE to 1:1 (label 0 as the minority), then class counts and the largest off-segment residual."""
     e = Tables(spark, sf).embeddings.select("vec_id", "embedding", (F.col("label") == 0).cast("int").alias("y"))
     out = SM.smote(e, "vec_id", "embedding", "y", minority=1, k=5, seed=42)
-    return out.groupBy("y", "synthetic").agg(F.count(F.lit(1)).alias("count"))
+    # distance of each synthetic point from the nearest segment between its seed row and one of that row's neighbours
+    m = e.where("y = 1").select("vec_id", F.col("embedding").cast("array<double>").alias("a"))
+    nn = SM.knn(m, m, "vec_id", "a", k=5).select("vec_id", "nn_key").join(
+        m.select(F.col("vec_id").alias("nn_key"), F.col("a").alias("b")), "nn_key").join(m, "vec_id")
+    syn = out.where("synthetic").select(F.col("vec_id").alias("name"), F.col("embedding").alias("p"),
+                                        F.substring_index("vec_id", "#s", 1).cast("long").alias("vec_id"))
+    minus = lambda x, y: F.zip_with(x, y, lambda s, t: s - t)
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
+    j = syn.join(nn, "vec_id").select("name", minus("p", "a").alias("d"), minus("b", "a").alias("e"))
+    j = j.withColumn("t", F.coalesce(dot("d", "e") / F.nullif(dot("e", "e"), F.lit(0.0)), F.lit(0.0)))
+    gap = F.zip_with("d", "e", lambda s, t: s - F.col("t") * t)
+    off = j.select("name", F.when(F.col("t").between(-1e-9, 1 + 1e-9), F.sqrt(dot(gap, gap))).alias("r")).groupBy("name").agg(F.min("r").alias("r"))
+    worst = off.agg(F.max(F.coalesce("r", F.lit(1e9)))).scalar()
+    n = out.groupBy("y", "synthetic").agg(F.count(F.lit(1)).alias("count"))
+    return n.withColumn("off_segment", F.when(F.col("synthetic"), worst).otherwise(F.lit(0.0)))
+
+
+@query("f2_population_scaler", "F2 F1", sql="""
+SELECT l_orderkey, l_linenumber,
+       floor((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER () * 1000000.0 + 0.5) / 1000000.0 + 0.0 AS q
+FROM lineitem""")
+def population_scaler(spark, sf):
+    from caliper.operators import models as M
+    li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    out = M.PopulationScaler(["l_quantity"]).fit(li).transform(li)
+    return out.select("l_orderkey", "l_linenumber", F.col("l_quantity__sc").alias("q"))
+
+
+@query("f1_median_imputer", "F1", sql="""
+WITH x AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS a FROM customer)
+SELECT c_custkey, floor(coalesce(a, (SELECT quantile_cont(a, 0.5) FROM x)) * 1000000.0 + 0.5) / 1000000.0 + 0.0 AS a, CAST(NULL AS DOUBLE) AS empty FROM x""")
+def median_imputer(spark, sf):
+    """Medians of all columns in one job; a column without values stays NULL."""
+    from caliper.operators import models as M
+    c = Tables(spark, sf).customer.select("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal")).alias("a"),
+                                          F.lit(None).cast("double").alias("empty"))
+    out = M.MedianImputer(["a", "empty"]).fit(c).transform(c)
+    return out.select("c_custkey", F.col("a__imp").alias("a"), F.col("empty__imp").alias("empty"))
+
+
+@query("s8_records_json", "S8", sql="SELECT CAST(o_orderstatus AS VARCHAR) AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def records_json(spark, sf):
+    from caliper.session import scratch_path
+    from caliper.sources import io as IO
+    m = Tables(spark, sf).orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    p = scratch_path(spark, "records-json")
+    IO.write_records_json(m, p, "o_orderstatus")
+    return spark.read.schema(m.schema).json(p)
 
 
 @query("w1_stream_scoring", "W1 C1")
@@ -129,7 +194,7 @@ def metrics_json(spark, sf):
     return spark.read.schema(m.schema).json(p)
 
 
-@query("s9_model_roundtrip", "S9 S10 M11")
+@query("s9_model_roundtrip", "S9 S10 M11", sql="SELECT CAST(ceil(count(*) / 5.0) AS BIGINT) AS n, 0.0 AS max_gap FROM orders")
 def model_roundtrip(spark, sf):
     from pyspark.ml import Pipeline
     from caliper.operators import models as M

@@ -15,6 +15,7 @@ from caliper.operators.features import SmoothTfidf
 from caliper.operators.stages import NGramRange, TextCleaner
 from caliper.plans.common import R, SCORED_SQL, WORD_RE, labelled_docs, scored_lineitem
 from caliper.plans.registry import Tables, query
+from caliper.session import stored
 
 
 # Coefficient table shared by J3 / E18 / E19 (a fitted naive log-odds model) ----------------
@@ -147,12 +148,12 @@ def _text_model(train, C=1.0, l1=False, vocab=5000, ngram=(1, 2), profile="senti
 
 def _text_split(t: Tables):
     d = labelled_docs(t).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
-    return S.train_test_split(d, "doc_id", 0.2, 42, stratify="label")
+    return stored(S.train_test_split(d, "doc_id", 0.2, 42, stratify="label"), "text-split")
 
 
 @query("m3_text_logistic_l2", "M3 M11 M14 F6 X20 UD2 E4 E5 E20")
 def text_logistic_l2(spark, sf):
-    d = _text_split(Tables(spark, sf)).cache()
+    d = _text_split(Tables(spark, sf))
     model = _text_model(d.where("split = 'train'"), C=1.0)
     pred = model.transform(d)
     return E.binary_metrics(pred, "label", "prediction", by=["split"])
@@ -160,7 +161,7 @@ def text_logistic_l2(spark, sf):
 
 @query("m5_text_logistic_l1", "M5 E18")
 def text_logistic_l1(spark, sf):
-    d = _text_split(Tables(spark, sf)).cache()
+    d = _text_split(Tables(spark, sf))
     model = _text_model(d.where("split = 'train'"), C=1.0, l1=True, ngram=(1, 1))
     tfidf, lr = model.stages[2], model.stages[3]
     terms = tfidf.stages[0].vocabulary
@@ -171,7 +172,7 @@ def text_logistic_l1(spark, sf):
 def _lineitem_rare(t: Tables):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_extendedprice",
                            (F.col("l_quantity") == 50).cast("double").alias("label"))
-    return S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42, stratify="label")
+    return stored(S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42, stratify="label"), "lineitem-split")
 
 
 @query("m4_balanced_logistic", "M4 F12 F2 E8 E12")
@@ -192,12 +193,12 @@ def balanced_logistic(spark, sf):
 def _customer(t: Tables):
     c = t.customer.select("c_custkey", "c_acctbal", F.col("c_nationkey").cast("string").alias("nation"),
                           (F.col("c_mktsegment") == "BUILDING").cast("double").alias("label"))
-    return S.train_test_split(c, "c_custkey", 0.2, 42, stratify="label")
+    return stored(S.train_test_split(c, "c_custkey", 0.2, 42, stratify="label"), "customer-split")
 
 
 @query("m6_gbt_classifier", "M6 F3 E5 E8")
 def gbt_classifier(spark, sf):
-    d = _customer(Tables(spark, sf)).cache()
+    d = _customer(Tables(spark, sf))
     pipe = Pipeline(stages=M.tabular_stages(["c_acctbal"], ["nation"]) + [M.gbt_classifier(200, 0.1, 3)])
     model = pipe.fit(d.where("split = 'train'"))
     test = M.positive_probability(model.transform(d.where("split = 'test'")))
@@ -208,7 +209,7 @@ def gbt_classifier(spark, sf):
 @query("m7_rf_classifier_balanced", "M7 F12 E16")
 def rf_classifier_balanced(spark, sf):
     d = _customer(Tables(spark, sf))
-    train = S.with_class_weights(d.where("split = 'train'"), "label").cache()
+    train = S.with_class_weights(d.where("split = 'train'"), "label")
     pipe = Pipeline(stages=M.tabular_stages(["c_acctbal"], ["nation"])
                     + [M.random_forest_classifier(300, 12, weight_col="weight")])
     model = pipe.fit(train)
@@ -218,13 +219,13 @@ def rf_classifier_balanced(spark, sf):
 
 def _orders(t: Tables):
     o = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_totalprice").alias("label"),
-                        (F.abs(F.xxhash64("o_custkey")) % 100).cast("double").alias("cust_bucket"))
-    return S.train_test_split(o, "o_orderkey", 0.2, 42)
+                        F.pmod(F.xxhash64("o_custkey"), F.lit(100)).cast("double").alias("cust_bucket"))
+    return stored(S.train_test_split(o, "o_orderkey", 0.2, 42), "orders-split")
 
 
 @query("m8_gbt_regressor", "M8 E1 E2 E3 E21")
 def gbt_regressor(spark, sf):
-    d = _orders(Tables(spark, sf)).cache()
+    d = _orders(Tables(spark, sf))
     pipe = Pipeline(stages=M.tabular_stages(["cust_bucket"], ["o_orderstatus", "o_orderpriority"])
                     + [M.gbt_regressor(100, 0.1, 3)])
     model = pipe.fit(d.where("split = 'train'"))
@@ -233,7 +234,7 @@ def gbt_regressor(spark, sf):
 
 @query("c4_what_if", "C4 C2")
 def what_if(spark, sf):
-    d = _orders(Tables(spark, sf)).cache()
+    d = _orders(Tables(spark, sf))
     pipe = Pipeline(stages=M.tabular_stages(["cust_bucket"], ["o_orderstatus", "o_orderpriority"])
                     + [M.gbt_regressor(100, 0.1, 3)])
     model = pipe.fit(d.where("split = 'train'"))
@@ -246,9 +247,9 @@ def what_if(spark, sf):
 def rf_regressor(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
                                            F.col("l_extendedprice").alias("label"))
-    d = S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42).cache()
+    d = stored(S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42), "lineitem-split")
     pipe = Pipeline(stages=M.tabular_stages(["l_quantity", "l_discount", "l_tax"], impute=True)
-                    + [M.random_forest_regressor(300, 8)])
+                    + [M.random_forest_regressor(300, 12)])
     model = pipe.fit(d.where("split = 'train'"))
     met = E.regression_metrics(model.transform(d.where("split = 'test'")), "label", "prediction")
     names = XP.feature_names(model.transform(d.limit(1)))
@@ -279,23 +280,61 @@ def coefficient_ranking(spark, sf):
     return XP.coefficient_table(spark, names, lr.coefficients.toArray()).withColumn("m14_m15_max_gap", gap)
 
 
+def _grid(spark, d, n_folds: int, vocab: list[int], grams: list[str], cs: list[float], name: str):
+    """Class-1 F1 of every grid point over stratified folds, and the best one refit on all rows.
+
+    Cleaning and n-grams do not depend on the training rows, so they are made
+    once (``uni`` and ``bi`` token columns, written) and the grid varies which one is read.
+    """
+    d = stored(S.stratified_folds(d, "doc_id", "label", k=n_folds), name)
+    n = d.count()
+    n_train = n * (n_folds - 1) / n_folds
+    tfidf = SmoothTfidf(grams[0], "features")
+    lr = M.logistic_regression(C=1.0, n_rows=n_train)
+    pipe = Pipeline(stages=[tfidf, lr])
+    grid = {tfidf.inputCol: grams, tfidf.vocabSize: vocab, lr.regParam: [M.refit_penalty(c, n_train) for c in cs]}
+    cv = M.grid_search(pipe, grid, "fold", parallelism=4, n_folds=n_folds)
+    rows = []
+    for p, m, sd in M.cv_summary(cv.fit(d)):
+        rows.append((p["inputCol"], int(p["vocabSize"]), round(1.0 / (p["regParam"] * n_train), 6), m, sd, m - 2 * sd, m + 2 * sd))
+    best = max(rows, key=lambda r: (r[3], r[0], -r[1], -r[2]))
+    refit = Pipeline(stages=[SmoothTfidf(best[0], "features", vocabSize=best[1]), M.logistic_regression(C=best[2], n_rows=n)]).fit(d)
+    f1 = M.f1_evaluator().evaluate(refit.transform(d))
+    out = spark.createDataFrame(rows, "grams string, vocab int, C double, mean_f1 double, std_f1 double, lo double, hi double")
+    chosen = (F.col("grams") == best[0]) & (F.col("vocab") == best[1]) & (F.col("C") == best[2])
+    return out.withColumn("refit_f1", F.when(chosen, F.lit(float(f1))))
+
+
 @query("m12_grid_search", "M12 M13 F9")
 def grid_search(spark, sf):
-    d = labelled_docs(Tables(spark, sf)).select("doc_id", "text", F.col("quality").cast("double").alias("label"))
-    d = S.stratified_folds(d, "doc_id", "label", k=3).cache()
-    n = d.count() * 2 / 3
-    lr = M.logistic_regression(C=1.0, n_rows=n)
-    pipe = Pipeline(stages=[TextCleaner("text", "tokens"), NGramRange("tokens", "grams", 1, 1),
-                            SmoothTfidf("grams", "features", vocabSize=3000), lr])
-    cv = M.grid_search(pipe, {lr.regParam: [1.0 / (c * n) for c in (0.1, 1.0, 10.0)]}, "fold", parallelism=3)
-    res = M.cv_summary(cv.fit(d))
-    rows = [(float(1.0 / (p["regParam"] * n)), m, s, m - 2 * s, m + 2 * s) for p, m, s in res]
-    return spark.createDataFrame(rows, "C double, mean_f1 double, std_f1 double, lo double, hi double")
+    """18 points x 3 folds: vocabulary 3,000 to 10,000, one or two words, C 0.1 to 10."""
+    d = labelled_docs(Tables(spark, sf)).select("doc_id", F.col("quality").cast("double").alias("label"), X.clean_sentiment("text").alias("uni"))
+    return _grid(spark, d.withColumn("bi", X.ngrams(F.col("uni"), 1, 2)), 3, [3000, 5000, 10000], ["uni", "bi"], [0.1, 1.0, 10.0], "grid-sentiment")
+
+
+@query("m12b_grid_search_spam", "M12 M13 F9")
+def grid_search_spam(spark, sf):
+    """9 points x 5 folds: vocabulary 1,000 to 3,000, C 0.1 to 10."""
+    d = labelled_docs(Tables(spark, sf)).select("doc_id", F.col("toxic").cast("double").alias("label"), X.word_tokens(X.lower("text")).alias("uni"))
+    return _grid(spark, d, 5, [1000, 2000, 3000], ["uni"], [0.1, 1.0, 10.0], "grid-spam")
+
+
+@query("j6_permuted_column", "J6", sql=f"""
+SELECT CAST(rep AS INTEGER) AS rep, count(*) AS n, {R('sum(CAST(c_acctbal AS DECIMAL(38,2)))')} AS total,
+       count(DISTINCT c_acctbal) AS n_values, 1 AS moved
+FROM customer, (SELECT unnest(generate_series(0, 9)) AS rep) GROUP BY rep""")
+def permuted_column(spark, sf):
+    """Each shuffled copy keeps the column's multiset, and moves it."""
+    from caliper.operators.ranking import hash_rank
+    c = Tables(spark, sf).customer.select("c_custkey", "c_acctbal", F.col("c_acctbal").alias("was"))
+    x = XP.permuted_copies(hash_rank(c, "c_custkey", seed=42, rank_col="pos"), "c_custkey", "c_acctbal", 10)
+    return x.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c_acctbal").cast("decimal(38,2)")).cast("double").alias("total"),
+                                F.countDistinct("c_acctbal").alias("n_values"), F.max((F.col("c_acctbal") != F.col("was")).cast("int")).alias("moved"))
 
 
 @query("e17_permutation_importance", "E17 J6")
 def permutation_importance(spark, sf):
-    d = _customer(Tables(spark, sf)).cache()
+    d = _customer(Tables(spark, sf))
     train = S.with_class_weights(d.where("split = 'train'"), "label")
     pipe = Pipeline(stages=M.tabular_stages(["c_acctbal"], ["nation"]) + [
         M.logistic_regression(C=1.0, n_rows=train.agg(F.sum("weight")).first()[0], weight_col="weight")])

@@ -45,7 +45,7 @@ def test_nmf_properties(spark):
     V = W0 @ H0
     rows = [(d, j, float(V[d, j])) for d in range(30) for j in range(12)]
     Vdf = spark.createDataFrame(rows, "doc_id int, idx int, v double")
-    res = NMF.fit_nmf(Vdf, "doc_id", 12, k=3, max_iter=40, tol=0.0, check_every=10, checkpoint_every=10)
+    res = NMF.fit_nmf(Vdf, "doc_id", 12, k=3, max_iter=40, tol=0.0, check_every=10)
     errs = [e for _, e in res.errors]
     assert all(b <= a + 1e-9 for a, b in zip(errs, errs[1:]))
     assert (res.H >= 0).all()
@@ -153,3 +153,61 @@ def test_what_if_savings(spark):
     assert out[1].base == 2.0 and out[1].cap is None and out[1].saving_cap is None
     assert out[2].base == 10.0 and out[2].cap == 6.0 and out[2].saving_cap == 4.0
     assert out[2].saving_quit == 0.0  # the stand-in model ignores smoker
+
+
+def test_nmf_keeps_documents_without_terms(spark):
+    V = spark.createDataFrame([(d, j, 1.0) for d in range(20) for j in range(6) if (d + j) % 2], "doc_id long, idx int, v double")
+    docs = spark.range(25).select(F.col("id").alias("doc_id"))
+    for init in ("random", "nndsvda"):
+        res = NMF.fit_nmf(V, "doc_id", 6, k=2, max_iter=20, docs=docs, init=init)
+        assert res.W.count() == 25 and res.errors[-1][1] < 0.5
+        dist = NMF.nmf_transform(V, "doc_id", res.H, n_iter=20, docs=docs)
+        assert {r.doc_id for r in dist.collect() if sum(r.distribution) == 0} == set(range(20, 25))
+
+
+def test_strip_accents_over_all_of_unicode(spark):
+    texts = [("Việt ﬁn ά ẛ", "Viet fin α s"), ("plain", "plain"), (None, None), ("Å½ é", "A1⁄2 e"), ("ё", "е")]
+    from caliper.functions import text as X
+    got = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, t string").select("i", X.strip_accents("t").alias("t"))
+    assert {r.i: r.t for r in got.collect()} == {i: w for i, (_, w) in enumerate(texts)}
+
+
+def test_knn_far_from_the_origin(spark):
+    rows = [(i, [1e8 + 0.01 * i, 1e8]) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, v array<double>")
+    got = {(r.k, r.rank): r.nn_key for r in SM.knn(df, df, "k", "v", k=2, block_rows=30).collect()}
+    assert all({got[i, 1], got[i, 2]} == {i - 1, i + 1} for i in range(1, 199))
+
+
+def test_permuted_copies_keep_the_multiset(spark):
+    from caliper.operators import explain as XP
+    from caliper.operators.ranking import hash_rank
+    df = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 3).alias("x"), F.col("id").alias("y"))
+    out = XP.permuted_copies(hash_rank(df, "k", seed=1, rank_col="pos"), "k", "x", 4).collect()
+    for rep in range(4):
+        part = [r for r in out if r.rep == rep]
+        assert sorted(r.x for r in part) == sorted(3 * i for i in range(50)) and sorted(r.k for r in part) == list(range(50))
+        assert any(r.x != 3 * r.k for r in part) and all(r.y == r.k for r in part)
+
+
+def test_permutation_importance_ranks_the_used_column_first(spark):
+    from pyspark.ml.feature import SQLTransformer
+    from caliper.operators import explain as XP
+    model = SQLTransformer(statement="SELECT *, CASE WHEN x > 20 THEN 1.0 ELSE 0.0 END AS prediction FROM __THIS__")
+    df = spark.range(60).select(F.col("id").alias("k"), F.col("id").alias("x"), (F.col("id") % 7).alias("z"), (F.col("id") > 20).cast("int").alias("label"))
+    out = XP.permutation_importance(model, df, "k", ["z", "x"], n_repeats=5).collect()
+    assert [r.feature for r in out] == ["x", "z"] and out[0].importance_mean > 0.1 and out[1].importance_mean == 0
+
+
+def test_coefficient_and_importance_tables(spark):
+    from pyspark.ml.linalg import Vectors
+    from caliper.operators import explain as XP
+    out = XP.importance_table(spark, ["a", "b"], Vectors.dense([0.2, 0.8])).collect()
+    assert [(r.feature, r.importance) for r in out] == [("b", 0.8), ("a", 0.2)]
+
+
+def test_median_of_a_column_without_values(spark):
+    from caliper.operators import models as M
+    df = spark.createDataFrame([(1.0, None), (3.0, None), (None, None)], "a double, b double")
+    out = M.MedianImputer(["a", "b"]).fit(df).transform(df).collect()
+    assert sorted(r.a__imp for r in out) == [1.0, 2.0, 3.0] and all(r.b__imp is None for r in out)

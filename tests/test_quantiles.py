@@ -14,13 +14,13 @@ def test_exact_quantiles_grouped_and_global(spark):
     rows += [("d", 7.0), ("e", None)]
     df = spark.createDataFrame(rows, "g string, x double")
     probs = [0.25, 0.5, 0.75, 0.1, 0.99, 0.0, 1.0]
-    got = {(r.g, r.p): r.value for r in exact_quantiles(df, "x", probs, by=["g"], n_buckets=8).collect()}
+    got = {(r.g, r.p): r.value for r in exact_quantiles(df, "x", probs, by=["g"], accuracy=100).collect()}
     for g in "abcd":
         xs = np.array([x for gg, x in rows if gg == g and x is not None])
         for p in probs:
             assert abs(got[(g, p)] - np.quantile(xs, p)) < 1e-9
     assert not any(k[0] == "e" for k in got)  # a group with only NULLs has no quantiles
     allx = np.array([x for _, x in rows if x is not None])
-    glob = {r.p: r.value for r in exact_quantiles(df, "x", probs, n_buckets=5).collect()}
+    glob = {r.p: r.value for r in exact_quantiles(df, "x", probs, accuracy=100).collect()}
     for p in probs:
         assert abs(glob[p] - np.quantile(allx, p)) < 1e-9

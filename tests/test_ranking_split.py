@@ -86,10 +86,10 @@ def test_class_weights(spark):
     assert abs(w[0] - 100 / (2 * 90)) < 1e-12 and abs(w[1] - 100 / (2 * 10)) < 1e-12
 
 
-def test_lookup_join_salted_path(spark):
+def test_lookup_join_without_a_bound(spark):
     big = spark.createDataFrame([(i, "hot" if i % 3 else f"t{i}") for i in range(300)], "k int, term string")
     small = spark.createDataFrame([("hot", 1.0)] + [(f"t{i}", 2.0) for i in range(0, 300, 3)], "term string, v double")
-    a = RK.lookup_join(big, small, "term", max_broadcast_rows=0, salts=4)
+    a = RK.lookup_join(big, small, "term", max_broadcast_rows=0)
     b = big.join(small, "term")
     assert sorted(a.select("k", "v").collect()) == sorted(b.select("k", "v").collect())
 
