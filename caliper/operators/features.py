@@ -47,10 +47,13 @@ def fit_vocabulary(tf: DataFrame, n_docs, max_features: int | None = 5000, min_d
         st = st.orderBy(F.col("count").desc(), F.col(term_col)).limit(max_features)
         # the kept vocabulary is bounded by max_features: a single ordered window is fine
         return st.withColumn("idx", (F.row_number().over(Window.orderBy(term_col)) - 1).cast("int"))
-    # uncapped: a distributed dense index (range-partitioned sort, per-partition offsets)
-    cols = st.columns
-    rdd = st.rdd.sortBy(lambda r: r[term_col]).zipWithIndex().map(lambda p: tuple(p[0]) + (int(p[1]),))
-    return rdd.toDF(cols + ["idx"]).withColumn("idx", F.col("idx").cast("int"))
+    # uncapped: a dense index from two levels, the terms' first letters and the terms inside one (no global window on terms)
+    st = st.withColumn("_head", F.substring(term_col, 1, 3))
+    heads = st.groupBy("_head").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = heads.select("_head", before.alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_head").orderBy(term_col)) - 1
+    return (st.join(offsets, "_head").withColumn("idx", (F.col("_off") + inside).cast("int")).drop("_head", "_off"))
 
 
 # F6 --------------------------------------------------------------------------------
@@ -97,10 +100,10 @@ def apply_vocabulary(df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFr
                      term_col: str = "term") -> DataFrame:
     """Vectorizer reuse on new text: counts of known terms; unseen terms drop out.
 
-    The vocabulary is capped by ``max_features`` when fitted, so it is broadcast.
+    The vocabulary may be uncapped: adaptive execution broadcasts it if its size allows.
     """
     tf = term_frequencies(df, doc_col, tokens_col, term_col)
-    return tf.join(F.broadcast(vocab.select(term_col, "idx")), on=term_col, how="inner")
+    return lookup_join(tf, vocab.select(term_col, "idx"), on=term_col)
 
 
 # pyspark.ml stages ---------------------------------------------------------------------

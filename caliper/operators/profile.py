@@ -193,7 +193,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10, by: str | None = None,
     x = df.where(F.col(col).isNotNull()).select(*([by] if by else []), F.col(col).cast("double").alias("x"))
     if by and not shared_bins:
         stats = x.groupBy(by).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-        y = x.join(F.broadcast(stats), on=by)  # one row per class
+        y = x.join(stats, on=by)
         lo, hi = F.col("lo"), F.col("hi")
     else:
         st = x.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
