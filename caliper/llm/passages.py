@@ -38,7 +38,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``stored`` tables whose readers have themselves been written."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def same_doc(a: DataFrame, b: DataFrame):
@@ -83,7 +93,9 @@ def repeated_anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
     occ = stored(anchors(docs, length, k), "anchors")
     # tables of repeated keys are written, so that the joins with them shuffle both sides and may split hot keys
     seeds = stored(occ.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"), "seeds")
-    return stored(occ.join(seeds, "seed", "left_semi"), "repeated-anchors")
+    out = stored(occ.join(seeds, "seed", "left_semi"), "repeated-anchors")
+    discard(occ, seeds)
+    return out
 
 
 def contexts(cand: DataFrame) -> DataFrame:
