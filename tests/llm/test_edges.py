@@ -89,7 +89,9 @@ def test_jaccard_join_large_groups(spark, monkeypatch):
     """Groups cut into many leaves: near copies of a few bases, some near the limit."""
     texts = [(i, edited(prose(150, i % 3), 12 + i % 40, i)) for i in range(120)]
     inner = jaccard_join.linked_components
-    monkeypatch.setattr(jaccard_join, "linked_components", lambda *a, **k: inner(*a, leaf_docs=7, leaf_tokens=2000))
+    refine = jaccard_join.refined_groups
+    monkeypatch.setattr(jaccard_join, "linked_components", lambda *a, **k: inner(*a, leaf_docs=7, leaf_tokens=2000, leaders=3))
+    monkeypatch.setattr(jaccard_join, "refined_groups", lambda *a, **k: refine(*a, group_docs=5, leaf_docs=9))
     for percent in (60, 75, 85):
         got = jaccard_join.jaccard_components(spark, docs(spark, texts), 3, percent).collect()
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == jaccard_want(texts, 3, percent)
