@@ -169,7 +169,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
     n_chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n_slices = max(1, -(-n_chars // (4 * slice_words)))
     d = docs.select(*dict.fromkeys([*id_cols, text_col]))
-    schema = T.StructType([d.schema[c] for c in id_cols] + OUT)
+    if n_slices > 1:                                      # rows with equal or null ids are kept apart by their text
+        d = d.withColumn("_text", F.struct(F.xxhash64(text_col), F.hash(text_col)))
+    keys = (*id_cols, "_text") if n_slices > 1 else id_cols
+    schema = T.StructType([d.schema[c] for c in keys] + OUT)
     parts = []
     for k in range(n_slices):
         rows = items.where(F.pmod(F.xxhash64("i"), F.lit(n_slices)) == k).orderBy("i", "t").collect()  # slice_words words
@@ -180,17 +183,17 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
         counts = d.select(text_col).mapInArrow(_shingle_counts(cand, text_col), "s int, h long, n long") if len(sl.length) else None
         df = {(r.s, r.h): r.n for r in counts.groupBy("s", "h").agg(F.sum("n").alias("n")).collect()} if counts is not None else {}
         index = spark.sparkContext.broadcast((sl, sl.prefixes(df)))
-        parts.append(d.mapInArrow(_find(index, id_cols, text_col), schema))
+        parts.append(d.mapInArrow(_find(index, keys, text_col), schema).withColumn("_slice", F.lit(k)))
     if len(parts) == 1:
         out = parts[0]
     else:
-        # every slice gives a row for each row of docs; equal rows are told apart by their number
+        # every slice gives a row for each row of docs; equal rows are told apart by their number, and a slice says the same of all of them
         both = parts[0]
         for p in parts[1:]:
             both = both.unionByName(p)
-        out = (both.groupBy(*id_cols, "n_words")
-               .agg(F.flatten(F.collect_list("covered")).alias("covered"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-                    F.count(F.lit(1)).alias("n"))
+        out = (both.groupBy(*keys, "n_words")
+               .agg(F.collect_set(F.struct("_slice", "covered", "items")).alias("found"), F.count(F.lit(1)).alias("n"))
+               .withColumn("covered", F.flatten(F.col("found.covered"))).withColumn("items", F.array_distinct(F.flatten(F.col("found.items"))))
                .withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.col("n") / len(parts)).cast("int")))))
     return out.select(*id_cols, "n_words", _n_hit(F.col("covered")).alias("n_hit"), F.sort_array("items").alias("items"),
                       (F.size("covered") > 0).alias("contaminated"))

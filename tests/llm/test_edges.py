@@ -126,6 +126,18 @@ def test_decontaminate(spark):
     assert len(out) == len(TEXTS) and not any(r.contaminated for r in out)
 
 
+def test_decontaminate_rows_without_ids(spark):
+    """Rows of one id (or none) and one length are judged each, with one slice of the benchmark and with several."""
+    leak, clean = prose(40, 31), prose(40, 32)
+    texts = [(None, leak), (None, clean), (None, leak), (7, clean), (7, leak), (7, None), (7, "")]
+    frame = spark.createDataFrame([(i, " ".join(leak.split()[i:i + 12])) for i in range(8)], "item_id long, text string")
+    want = Counter((i, *x[:2], tuple(x[2])) for (i, _), x in zip(texts, brute.decontaminated([t for _, t in texts], frame.collect())))
+    for words in (2_000_000, 20):
+        out = decontaminate.decontaminate(spark, docs(spark, texts), frame, slice_words=words).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in out) == want
+        assert sum(r.contaminated for r in out) == 3
+
+
 def test_line_dedup(spark):
     texts = [*TEXTS, *[(100 + i, f"own {i}\n Shared LINE \x0b\n\nÄ end {i % 2}\t\r\n{'ten' if i < 10 else 'x'}\nlast") for i in range(12)], (100, "shared line"), (None, "SHARED line\n")]
     out = line_dedup.dedup_lines(spark, docs(spark, texts), cols=["doc_id", "text"]).collect()
