@@ -18,7 +18,9 @@ shingles of the slice and sums them in Spark.
 
 Defined results: null or wordless texts have no words and no hits; an item
 without words has no window; repeated documents are judged each; repeated item
-ids count once.
+ids count once; an item without an id is searched like any other, its hits count
+and contaminate, only ``items`` has no id to list.  ``op4_decontaminate`` leaves
+such items out, as its SQL does.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ OUT = [T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayT
 class _Slice:
     """Windows of a slice of the benchmark: words, shingles, items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int, shingle: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int, shingle: int):
         w = split_words(pa.array([t for _, t in items], pa.string()), ALNUM, lower=True)
         self.text: list[bytes] = []
         self.ids: list[list[str]] = []
@@ -55,7 +57,7 @@ class _Slice:
                     words.append(w.hash[i:min(b, i + window)])
                     self.text.append(text)
                     self.ids.append([])
-                if item not in self.ids[k]:
+                if item is not None and item not in self.ids[k]:
                     self.ids[k].append(item)
         self.length = np.array([len(x) for x in words], np.int64)
         self.words = np.zeros((len(words), window), np.uint64)
@@ -165,7 +167,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
                   slice_words: int = 2_000_000, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``id_cols, n_words, n_hit, items, contaminated``."""
-    items = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
+    items = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
     n_chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n_slices = max(1, -(-n_chars // (4 * slice_words)))
     d = docs.select(*dict.fromkeys([*id_cols, text_col]))
@@ -201,7 +203,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where(F.col("item_id").isNotNull())       # as OP4_SQL
     return decontaminate(spark, docs, items).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

@@ -138,6 +138,16 @@ def test_decontaminate_rows_without_ids(spark):
         assert sum(r.contaminated for r in out) == 3
 
 
+def test_decontaminate_items_without_ids(spark):
+    leak = prose(40, 33).split()
+    items = [(None, " ".join(leak[:12])), (None, " ".join(leak[12:24])), (1, " ".join(leak[20:30])), (None, None), (None, "")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(1, " ".join(leak[:15])), (2, " ".join(leak)), (3, prose(30, 34))]
+    for words in (2_000_000, 5):
+        out = decontaminate.decontaminate(spark, docs(spark, texts), frame, slice_words=words).collect()
+        assert {r.doc_id: (r.n_hit, r["items"], r.contaminated) for r in out} == {1: (12, [], True), 2: (30, ["1"], True), 3: (0, [], False)}
+
+
 def test_line_dedup(spark):
     texts = [*TEXTS, *[(100 + i, f"own {i}\n Shared LINE \x0b\n\nÄ end {i % 2}\t\r\n{'ten' if i < 10 else 'x'}\nlast") for i in range(12)], (100, "shared line"), (None, "SHARED line\n")]
     out = line_dedup.dedup_lines(spark, docs(spark, texts), cols=["doc_id", "text"]).collect()
