@@ -11,9 +11,13 @@ length; what is left is verified word by word, first on hashes and then on the
 bytes of the text.
 
 The join is made on the map side: the prefix index of a *slice* of the
-benchmark is broadcast, and slices are cut by a checked number of words
-(``slice_words``), so any benchmark goes through in as many passes as it needs
-and no document moves.  Rarity is a first pass that counts, per task, only the
+benchmark is broadcast.  Slices are cut by measured sizes: the distinct items
+are dealt into many buckets by a hash of id and text, and buckets are put
+together up to ``4 * slice_words`` characters, so one id with many rows spreads
+over slices and only a bucket that is larger by itself (in effect, one huge
+item) makes a larger slice.  A slice passes through the driver, which builds its
+index; any benchmark goes through in as many passes as it needs and no document
+moves.  Rarity is a first pass that counts, per task, only the
 shingles of the slice and sums them in Spark.
 
 Defined results: null or wordless texts have no words and no hits; an item
@@ -33,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caliper.llm.passages import stored
 from caliper.llm.words import ALNUM, Words, multi_arange, signed, slices, split_words
 
 SPAN = T.StructType().add("a", "long").add("b", "long")
@@ -163,23 +168,45 @@ def _n_hit(spans: Column) -> Column:
     return F.aggregate(F.sort_array(spans), start, step)["n"]
 
 
+def _packed(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """Ranges (first, last) of consecutive buckets ``(bucket, size)`` of at most ``most`` together, or of one bucket."""
+    out, total = [], 0
+    for bucket, size in sorted(sizes):
+        if out and total + size <= most:
+            out[-1] = (out[-1][0], bucket)
+            total += size
+        else:
+            out.append((bucket, bucket))
+            total = size
+    return out
+
+
+def _item_slices(items: DataFrame, most: int) -> list[DataFrame]:
+    """``items (i, t)`` in slices of at most ``most`` characters."""
+    n_chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
+    if n_chars <= most:
+        return [items]
+    items = stored(items.distinct().withColumn("_b", F.pmod(F.xxhash64("i", "t"), F.lit(64 * -(-n_chars // most)))), "benchmark")
+    sizes = [(r["_b"], r.n) for r in items.groupBy("_b").agg(F.sum(F.length("t")).alias("n")).collect()]
+    return [items.where(F.col("_b").between(a, b)) for a, b in _packed(sizes, most)]
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3,
                   slice_words: int = 2_000_000, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``id_cols, n_words, n_hit, items, contaminated``."""
     items = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
-    n_chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
-    n_slices = max(1, -(-n_chars // (4 * slice_words)))
+    cut = _item_slices(items, 4 * slice_words)
     d = docs.select(*dict.fromkeys([*id_cols, text_col]))
-    if n_slices > 1:                                      # rows with equal or null ids are kept apart by their text
+    if len(cut) > 1:                                      # rows with equal or null ids are kept apart by their text
         d = d.withColumn("_text", F.struct(F.xxhash64(text_col), F.hash(text_col)))
-    keys = (*id_cols, "_text") if n_slices > 1 else id_cols
+    keys = (*id_cols, "_text") if len(cut) > 1 else id_cols
     schema = T.StructType([d.schema[c] for c in keys] + OUT)
     parts = []
-    for k in range(n_slices):
-        rows = items.where(F.pmod(F.xxhash64("i"), F.lit(n_slices)) == k).orderBy("i", "t").collect()  # slice_words words
+    for k, some in enumerate(cut):
+        rows = some.orderBy("i", "t").collect()
         sl = _Slice([(r.i, r.t) for r in rows], window, shingle)
-        if not len(sl.length) and k < n_slices - 1:
+        if not len(sl.length) and k < len(cut) - 1:
             continue
         cand = spark.sparkContext.broadcast(sl.candidates())
         counts = d.select(text_col).mapInArrow(_shingle_counts(cand, text_col), "s int, h long, n long") if len(sl.length) else None

@@ -148,6 +148,21 @@ def test_decontaminate_items_without_ids(spark):
         assert {r.doc_id: (r.n_hit, r["items"], r.contaminated) for r in out} == {1: (12, [], True), 2: (30, ["1"], True), 3: (0, [], False)}
 
 
+def test_decontaminate_slices_are_bounded(spark, monkeypatch):
+    """One item id (or none) with all rows does not land in one slice."""
+    made = []
+    init = decontaminate._Slice.__init__
+    monkeypatch.setattr(decontaminate._Slice, "__init__", lambda self, items, *rest: made.append(items) or init(self, items, *rest))
+    words = LONG.split()
+    rows = [(None if i % 2 else 1, " ".join(words[20 * i:20 * i + 12])) for i in range(120)]
+    texts = [(1, " ".join(words[:200])), (2, prose(50, 35))]
+    most = 4 * 200
+    out = decontaminate.decontaminate(spark, docs(spark, texts), spark.createDataFrame(rows + rows, "item_id long, text string"), slice_words=200).collect()
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in out} == {1: (120, ["1"]), 2: (0, [])}
+    assert max(sum(len(t) for _, t in items) for items in made) <= most
+    assert Counter(x for items in made for x in map(tuple, items)) == Counter((i and str(i), t) for i, t in set(rows))
+
+
 def test_line_dedup(spark):
     texts = [*TEXTS, *[(100 + i, f"own {i}\n Shared LINE \x0b\n\nÄ end {i % 2}\t\r\n{'ten' if i < 10 else 'x'}\nlast") for i in range(12)], (100, "shared line"), (None, "SHARED line\n")]
     out = line_dedup.dedup_lines(spark, docs(spark, texts), cols=["doc_id", "text"]).collect()
