@@ -5,6 +5,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,6 +210,18 @@ URLS = [None, "", "no scheme", "http://a.NET/x?y", "https://Example.net/en/1#z",
         "x://a.org/fr/q/://", "http://example.net", "http://.net/", "a\nb://b.net/q", "http://example.net/EN/", "http://é.net/en/"]
 
 
+def test_bm25_very_long_query():
+    """Documents that tie exactly all stay, however far the single precision sums are off."""
+    n, terms, r = 24, 100_000, np.random.default_rng(1)
+    tf = np.stack([r.permutation(np.arange(terms) % 40 + 1) for _ in range(n)], axis=1).astype(np.int32)       # term x document
+    row = {"ids": None, "terms": np.arange(terms, dtype=np.uint64).tobytes(), "first": (np.arange(terms + 1) * n).astype(np.int64).tobytes(),
+           "docs": np.tile(np.arange(n, dtype=np.int32), terms).tobytes(), "tf": tf.tobytes(), "size": tf.sum(0).astype(np.int32).tobytes()}
+    rows = pd.DataFrame({"id": 1, "rk": 1, "term": np.arange(terms), "qtf": 3, "df": n})
+    q = bm25_search.QueryBlock(rows, 10 * n, float(tf.sum(0).mean()), 0.05, 2)
+    (_, found, score), = bm25_search.Shard(row, q).search(q, 0, 1)
+    assert found.tolist() == list(range(n)) and len(set(score)) == 1
+
+
 def test_url_filter(spark):
     rows = [(i // 2, u) for i, u in enumerate([*URLS, *URLS])] + [(None, URLS[3])]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("key", F.lit(1)).withColumn("host", F.lit("h")).withColumn("_m", F.lit(1))
