@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caliper.llm.passages import stored
-from caliper.llm.words import ALNUM, Words, multi_arange, signed, slices, split_words
+from caliper.llm.words import ALNUM, Words, multi_arange, packed, signed, slices, split_words
 
 SPAN = T.StructType().add("a", "long").add("b", "long")
 OUT = [T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayType(SPAN)), T.StructField("items", T.ArrayType(T.StringType()))]
@@ -168,19 +168,6 @@ def _n_hit(spans: Column) -> Column:
     return F.aggregate(F.sort_array(spans), start, step)["n"]
 
 
-def _packed(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
-    """Ranges (first, last) of consecutive buckets ``(bucket, size)`` of at most ``most`` together, or of one bucket."""
-    out, total = [], 0
-    for bucket, size in sorted(sizes):
-        if out and total + size <= most:
-            out[-1] = (out[-1][0], bucket)
-            total += size
-        else:
-            out.append((bucket, bucket))
-            total = size
-    return out
-
-
 def _item_slices(items: DataFrame, most: int) -> list[DataFrame]:
     """``items (i, t)`` in slices of at most ``most`` characters."""
     n_chars = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
@@ -188,7 +175,7 @@ def _item_slices(items: DataFrame, most: int) -> list[DataFrame]:
         return [items]
     items = stored(items.distinct().withColumn("_b", F.pmod(F.xxhash64("i", "t"), F.lit(64 * -(-n_chars // most)))), "benchmark")
     sizes = [(r["_b"], r.n) for r in items.groupBy("_b").agg(F.sum(F.length("t")).alias("n")).collect()]
-    return [items.where(F.col("_b").between(a, b)) for a, b in _packed(sizes, most)]
+    return [items.where(F.col("_b").between(a, b)) for a, b in packed(sizes, most)]
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3,

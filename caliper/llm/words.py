@@ -160,3 +160,16 @@ def multi_arange(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.
     owner = np.repeat(np.arange(len(start)), length)
     ends = np.cumsum(length)
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - length, length) + np.repeat(start, length), owner
+
+
+def packed(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """Ranges (first, last) of consecutive buckets ``(bucket, size)`` of at most ``most`` together, or of one bucket."""
+    out, total = [], 0
+    for bucket, size in sorted(sizes):
+        if out and total + size <= most:
+            out[-1] = (out[-1][0], bucket)
+            total += size
+        else:
+            out.append((bucket, bucket))
+            total = size
+    return out

@@ -210,6 +210,18 @@ URLS = [None, "", "no scheme", "http://a.NET/x?y", "https://Example.net/en/1#z",
         "x://a.org/fr/q/://", "http://example.net", "http://.net/", "a\nb://b.net/q", "http://example.net/EN/", "http://é.net/en/"]
 
 
+def test_bm25_query_blocks_are_bounded(spark, monkeypatch):
+    made = []
+    init = bm25_search.QueryBlock.__init__
+    monkeypatch.setattr(bm25_search.QueryBlock, "__init__", lambda self, rows, *rest: made.append(len(rows)) or init(self, rows, *rest))
+    texts = [(2 ** 60 + i, prose(2 + 25 * (i % 3), 50 + i)) for i in range(60)] + [(None, prose(30, 49))]
+    whole = bm25_search.top_k(spark, docs(spark, texts), docs(spark, texts), k=3).collect()
+    assert len(made) == 1 and {r.query_id for r in whole} == {i for i, _ in texts}
+    parts = bm25_search.top_k(spark, docs(spark, texts), docs(spark, texts), k=3, block_terms=120).collect()
+    assert Counter(map(tuple, parts)) == Counter(map(tuple, whole))
+    assert max(made[1:]) <= 120 and sum(made[1:]) == made[0]
+
+
 def test_bm25_very_long_query():
     """Documents that tie exactly all stay, however far the single precision sums are off."""
     n, terms, r = 24, 100_000, np.random.default_rng(1)
