@@ -7,8 +7,9 @@ margins are decoded by loss weighting: the codeword with the smallest summed
 ``exp(-bit * margin)`` wins, its share among all codewords is the score, and a
 small gap to the second codeword flags the text as ambiguous.
 
-Training sample: labelled rows chosen by a hash of their id, about
-``sample_rows`` in all and equally many per language; only their feature rows
+Training sample: labelled rows chosen by a hash of id and text, ``sample_rows``
+in all at most and equally many per language (all rows of a language that has
+fewer); only their feature rows
 (``dim`` numbers each) reach the driver, so its memory is bounded by
 ``sample_rows * dim`` whatever the corpus.  The classifiers are ridge
 regressions solved at once in the sample's Gram matrix.  Prediction is a
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,7 +106,7 @@ def _feature_rows(text_col: str, dim: int):
     return run
 
 
-def train(docs: DataFrame, sample_rows: int = 1600, dim: int = 4096, ridge: float = 0.05, id_col: str = "doc_id",
+def train(docs: DataFrame, sample_rows: int = 2400, dim: int = 4096, ridge: float = 0.05, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on labelled rows of ``docs`` (null texts and languages are left out)."""
     docs = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
@@ -115,19 +116,30 @@ def train(docs: DataFrame, sample_rows: int = 1600, dim: int = 4096, ridge: floa
         raise ValueError(f"{len(langs)} languages for a sample of {sample_rows} rows")
     if not langs:
         return Model([], np.ones((0, 0)), np.zeros((dim, 0)), dim)
-    share = {x: min(1.0, sample_rows / len(langs) / counts[x]) for x in langs}
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    quota = sample_rows // len(langs)
+    # twice the quota and some more pass the coin (all rows of a small language); the quota is what has the smallest hashes
+    share = {x: min(1.0, (2 * quota + 50) / counts[x]) for x in langs}
+    key = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("sample"))
+    place = F.pmod(key, F.lit(1 << 30)) / F.lit(float(1 << 30))
     limit = F.element_at(F.create_map(*[F.lit(v) for x in langs for v in (x, share[x])]), F.col(lang_col))
-    sample = docs.where(place < limit).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rows = sorted((r.lang, bytes(r.x)) for r in sample.mapInArrow(_feature_rows("text", dim), "lang string, x binary").collect())
+    some = docs.where(place < limit).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), place.alias("place"), key.alias("key"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "key", "text"))
+    sample = some.withColumn("nth", nth).where(F.col("nth") <= quota).select("lang", "text")
+    table = sample.mapInArrow(_feature_rows("text", dim), "lang string, x binary").toArrow()
+    rows = sorted(zip(table.column("lang").to_pylist(), table.column("x").to_pylist()))
     langs = sorted({r[0] for r in rows})
     code = codewords(len(langs))
     if len(langs) < 2:
         return Model(langs, code, np.zeros((dim, 0)), dim)
-    x = np.stack([np.frombuffer(r[1], np.float32) for r in rows]).astype(np.float64)
+    x = np.empty((len(rows), dim))
+    for i, r in enumerate(rows):
+        x[i] = np.frombuffer(r[1], np.float32)
     at = {lang: i for i, lang in enumerate(langs)}
     y = code[[at[r[0]] for r in rows]]
-    alpha = np.linalg.solve(x @ x.T + ridge * np.eye(len(x)), y)
+    del table, rows
+    gram = x @ x.T
+    gram[np.diag_indices(len(x))] += ridge
+    alpha = np.linalg.solve(gram, y)
     return Model(langs, code, x.T @ alpha, dim)
 
 

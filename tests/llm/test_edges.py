@@ -304,6 +304,13 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.predict(spark, d.where("lang = 'de'"), single, id_cols=["doc_id"]).collect()} == {"fr"}
 
 
+def test_language_id_keeps_every_language(spark):
+    """Languages whose share of the sample is a row or two, and rows without ids, are in the model; the sample is bounded."""
+    rows = [(i if i % 2 else None, f"l{i % 60}", f"{prose(8, i)} l{i % 60}") for i in range(6000)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, lang string, text string"), sample_rows=60, dim=64)
+    assert model.languages == sorted({x for _, x, _ in rows})
+
+
 @pytest.mark.parametrize("k", [2, 4, 6, 9, 40])
 def test_codewords_are_apart(k):
     code = language_id.codewords(k)
