@@ -6,6 +6,9 @@ gets the virtual finish time ``c / target(source)``; serving copies in the
 order of that time serves every source in proportion to its target, and the
 total budget is spent when the virtual time reaches 1.  The copy that straddles
 the cut is taken in part, so a source's words are its target, rounded down.
+Finish times rise along a source's queue, so the cut at 1 needs no global sort:
+``taken`` is each source's running sum, cut at its target, in whole words.
+``training_order`` alone sorts by finish time, after the cut.
 
 Running sums per source never put a source into one task: documents are cut
 into buckets of the hash order (about ``bucket_rows`` rows each, however many

@@ -193,6 +193,20 @@ def test_mixing(spark):
     assert sum(r.words for r in order) == sum(taken.values()) and [r.finish for r in order] == sorted(r.finish for r in order)
 
 
+def test_mixing_is_the_global_queue_cut_at_time_one(spark):
+    texts = [(i, prose(rng.randrange(1, 60), i)) for i in range(150)]
+    out = mixing.mix(spark, docs(spark, texts), bucket_rows=10).collect()
+    queue = sorted((r.finish + e * r.source_size / r.target, r.source, r.doc_id, r.size, r.target) for r in out for e in range(2) if r.size)
+    taken, cut = Counter(), set()
+    for finish, source, doc, size, target in queue:
+        if finish <= 1:
+            taken[doc] += size
+        elif source not in cut:                               # the copy that straddles the cut
+            cut.add(source)
+            taken[doc] += max(0, size - round(finish * target) + int(target))
+    assert taken == Counter({r.doc_id: r.taken for r in out})
+
+
 def test_bm25(spark):
     own = [t for t in TEXTS if t[0] is not None and t != (5, BASE)] + [(30 + i, prose(30 + i, i % 9)) for i in range(60)]
     queries = own[1::4]
