@@ -217,7 +217,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where(F.col("item_id").isNotNull())       # as OP4_SQL
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate(spark, docs, items).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -227,7 +227,7 @@ OP4_SQL = r"""
 WITH dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
 iw AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE text IS NOT NULL),
 win AS (SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[i:i + 9], ' ') AS w
         FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 9))) AS i FROM iw WHERE len(ws) > 0)),
 lens AS (SELECT DISTINCT n FROM win),
@@ -237,7 +237,7 @@ hit AS (SELECT doc_id, i, n, item_id FROM
         JOIN win USING (n, w)),
 cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY doc_id),
 its AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS s
-        FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+        FROM (SELECT DISTINCT doc_id, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)

@@ -3,7 +3,11 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
+
+import xxhash
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -136,3 +140,76 @@ def judged(url, rules=RULES):
     fits = [(len(h + p), h + p, a) for a, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     best = max(fits, default=None)
     return host, path, best and best[1], best[2] if best else "allow"
+
+
+def periodic_runs(w, least=6, times=4):
+    """``(start, length, period)`` of the runs of the words ``w``, by start, then period."""
+    out = []
+    for q in range(1, len(w) // times + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            s = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            x = w[s:i + q]
+            if len(x) >= max(least, times * q) and not any(all(a == b for a, b in zip(x, x[r:])) for r in range(1, q)):
+                out.append((s, len(x), q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def with_periodic_end(doc_id, words):
+    h, n = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1, len(words)
+    if h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def op11(doc_id, text):
+    w = with_periodic_end(doc_id, spaced(text))
+    runs = periodic_runs(w)
+    drop = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = max(runs, key=lambda x: (Fraction(x[1], x[2]), -x[0], -x[2]), default=None)
+    return (doc_id, len(runs), *((*best, 1000 * best[1] // best[2]) if best else (None,) * 4), sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in drop)))
+
+
+def simhash(text, n):
+    w = spaced(text, True)
+    h = [xxhash.xxh64_intdigest(" ".join(w[i:i + n]).encode(), 42) for i in range(max(1, len(w) - n + 1))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def simhash_groups(prints, differ=3):
+    group = list(range(len(prints)))
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= differ and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    return group
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def lexical(items, docs, k):
+    """``items``, ``docs``: (id, text) pairs; per item its best (score, id)."""
+    terms = [(i, Counter(x.translate(LOW) for x in TERM.findall(t or ""))) for i, t in docs]
+    n, total = sum(1 for _, c in terms if c), sum(sum(c.values()) for _, c in terms)
+    df = Counter(t for _, c in terms for t in c)
+    out = []
+    for q, text in items:
+        found = []
+        for i, c in terms:
+            m = 10 + 90 * sum(c.values()) * n // max(total, 1)
+            s = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 8 * m))
+                    for t in {x.translate(LOW) for x in TERM.findall(text or "")} if c[t])
+            if s > 0:
+                found.append((s, i))
+        out.append((q, sorted(found, key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:k]))
+    return out
