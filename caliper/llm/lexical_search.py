@@ -53,7 +53,7 @@ from caliper.llm.words import _byte_class, multi_arange, packed, signed, slices,
 TERMS = _byte_class([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 BLOCK = 256            # documents with one bound per long list
 LONG = 16              # a list is long if it holds more than a document in so many
-LISTS = {"terms": np.uint64, "first": np.int64, "docs": np.int32, "impacts": np.int64, "long": np.int32, "begins": np.int32, "bounds": np.int64}
+LISTS = {"terms": np.uint64, "first": np.int32, "docs": np.int32, "impacts": np.int32, "long": np.int32, "begins": np.int32, "bounds": np.int32}   # an impact is 10^6 at most
 
 
 def _postings(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +132,7 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _list_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for terms, first in zip(batch.column("terms"), batch.column("first")):
-            t, n = np.frombuffer(terms.as_py(), np.int64), np.diff(np.frombuffer(first.as_py(), np.int64))
+            t, n = np.frombuffer(terms.as_py(), np.int64), np.diff(np.frombuffer(first.as_py(), np.int32)).astype(np.int64)
             for a in range(0, len(t), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(t[a:a + 100_000]), pa.array(n[a:a + 100_000])], ["term", "df"])
 
@@ -178,7 +178,7 @@ class Shard:
     def accumulators(self, entry: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Term at a time: documents of the lists ``entry``, sorted, and their sums."""
         length = self.first[entry + 1] - self.first[entry]
-        at, which = multi_arange(self.first[entry], length)
+        at, which = multi_arange(self.first[entry].astype(np.int64), length)
         order = np.argsort(self.docs[at], kind="stable")
         doc, add = self.docs[at][order], (self.impacts[at] * weight[which])[order]
         begin = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.empty(0, np.int64)
@@ -260,7 +260,7 @@ def _item_blocks(weighted: DataFrame, most: int) -> list[DataFrame]:
     return [buckets.where(F.col("_b").between(a, b)) for a, b in packed(sizes, most)]
 
 
-def rank_documents(spark: SparkSession, docs: DataFrame, items: DataFrame, k: int = 10, shard_docs: int = 4096, block_terms: int = 500_000,
+def rank_documents(spark: SparkSession, docs: DataFrame, items: DataFrame, k: int = 10, shard_docs: int = 2048, block_terms: int = 500_000,
                    id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``item_id, rank, doc_id, score``: the k best rows of ``docs`` for every row of ``items``."""
     d = keyed(docs, id_col, text_col)

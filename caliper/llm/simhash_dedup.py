@@ -115,13 +115,15 @@ def close_edges(spark: SparkSession, classes: DataFrame, differ: int, bucket: in
     """Edges ``(a, b)`` that connect the fingerprints ``fp`` of ``classes`` (distinct) as their links do."""
     if bucket < 1 << differ:
         raise ValueError("a bucket of `differ` open bits cannot be split: it needs room for 2 ** differ fingerprints")
-    found, masks, members, old = [], [0], classes.select("fp", F.lit(0).cast("long").alias("mask")), None
+    found, masks, members, old = [], [0], classes.select("fp"), None
     while masks:
-        split = {m: split_bits(m, differ + 1) for m in masks}
-        pairs = spark.createDataFrame([(_long(m), _long(c)) for m, cs in split.items() for c in cs], "mask long, child long")
-        # one row for each block of each open mask: at most (differ + 1) ** level rows
-        one = members.join(F.broadcast(pairs), "mask").select(F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("child")).alias("key"), "fp")
-        one = stored(one, "blocks")
+        split = {m: [_long(c) for c in split_bits(m, differ + 1)] for m in masks}
+        if old is None:
+            one = members.withColumn("child", F.explode(F.array(*[F.lit(c) for c in split[0]])))
+        else:                                             # a row for each block of each open mask: at most (differ + 1) ** level rows
+            pairs = spark.createDataFrame([(_long(m), c) for m, cs in split.items() for c in cs], "mask long, child long")
+            one = members.join(F.broadcast(pairs), "mask")
+        one = stored(one.select(F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("child")).alias("key"), "fp"), "blocks")
         size = stored(one.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket-sizes")
         ready = one.join(size.where(F.col("n") <= bucket), ["mask", "key"], "left_semi")
         rows = ready.repartition("mask", "key").sortWithinPartitions("mask", "key")
