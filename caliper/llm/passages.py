@@ -44,11 +44,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Remove ``stored`` tables whose readers have themselves been written."""
+    """Remove ``stored`` tables whose readers have themselves been written.
+
+    The shuffle files of the jobs that wrote them go too: Spark's cleaner
+    removes those of plans that the driver has collected as garbage.
+    """
     for t in tables:
         sc = t.sparkSession.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(t.stored_at)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def same_doc(a: DataFrame, b: DataFrame):
