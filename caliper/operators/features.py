@@ -8,8 +8,12 @@ table that may be broadcast, because its size is bounded by that cap.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+from threading import Lock
+
+import numpy as np
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct, IDF, Normalizer
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -18,6 +22,7 @@ from pyspark.sql import functions as F
 
 from caliper.functions.text import explode_tokens
 from caliper.operators.ranking import lookup_join
+from caliper.session import stored
 
 
 def term_frequencies(df: DataFrame, doc_col: str, tokens_col: str, term_col: str = "term") -> DataFrame:
@@ -124,15 +129,95 @@ class SmoothTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, D
         self._setDefault(vocabSize=5000, minDF=1.0, maxDF=1.0)
         self._set(inputCol=inputCol, outputCol=outputCol, vocabSize=vocabSize, minDF=minDF, maxDF=maxDF)
 
-    def _fit(self, df: DataFrame) -> PipelineModel:
-        inp, out = self.getInputCol(), self.getOutputCol()
-        cv = CountVectorizer(inputCol=inp, outputCol="_tf", vocabSize=self.getOrDefault(self.vocabSize),
+    def _vocabulary(self, df: DataFrame) -> tuple[list[str], np.ndarray]:
+        """Terms by falling corpus count, at most ``vocabSize``, and ``idf + 1`` of each."""
+        inp, out = self.getInputCol(), "_tf"
+        cv = CountVectorizer(inputCol=inp, outputCol=out, vocabSize=self.getOrDefault(self.vocabSize),
                              minDF=self.getOrDefault(self.minDF), maxDF=self.getOrDefault(self.maxDF)).fit(df)
-        idf = IDF(inputCol="_tf", outputCol="_idf").fit(cv.transform(df))
-        scale = DenseVector(idf.idf.toArray() + 1.0)
-        ep = ElementwiseProduct(scalingVec=scale, inputCol="_tf", outputCol="_w")
-        nz = Normalizer(p=2.0, inputCol="_w", outputCol=out)
-        return PipelineModel([cv, ep, nz])
+        return cv.vocabulary, IDF(inputCol=out, outputCol="_idf").fit(cv.transform(df)).idf.toArray() + 1.0
+
+    def _model(self, terms: list[str], scale: np.ndarray) -> PipelineModel:
+        inp, out, size = self.getInputCol(), self.getOutputCol(), self.getOrDefault(self.vocabSize)
+        cv = CountVectorizerModel.from_vocabulary(terms[:size], inputCol=inp, outputCol="_tf")
+        ep = ElementwiseProduct(scalingVec=DenseVector(scale[:size]), inputCol="_tf", outputCol="_w")
+        return PipelineModel([cv, ep, Normalizer(p=2.0, inputCol="_w", outputCol=out)])
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        return self._model(*self._vocabulary(df))
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[dict]) -> Iterator[tuple[int, PipelineModel]]:
+        """The models of all ``paramMaps``, from one fit of the largest vocabulary per input column and document
+        frequency bounds: terms come by falling count, so a smaller vocabulary is the head of a larger one."""
+        each = [self.copy(pm) for pm in paramMaps]
+        key = lambda e: (e.getInputCol(), e.getOrDefault(e.minDF), e.getOrDefault(e.maxDF))
+        largest: dict = {}
+        for e in each:
+            if key(e) not in largest or e.getOrDefault(e.vocabSize) > largest[key(e)].getOrDefault(e.vocabSize):
+                largest[key(e)] = e
+        fits = Shared(lambda k: largest[k]._vocabulary(dataset))
+        return OnDemand(lambda i: each[i]._model(*fits(key(each[i]))), len(each))
+
+
+class Shared:
+    """``make(key)``, made once per key, by whichever thread asks first."""
+
+    def __init__(self, make: Callable):
+        self.make, self.lock, self.locks, self.made = make, Lock(), {}, {}
+
+    def __call__(self, key):
+        with self.lock:
+            lock = self.locks.setdefault(key, Lock())
+        with lock:
+            if key not in self.made:
+                self.made[key] = self.make(key)
+            return self.made[key]
+
+
+class OnDemand:
+    """Iterator ``(i, make(i))`` that several threads may share."""
+
+    def __init__(self, make: Callable, n: int):
+        self.make, self.left, self.lock = make, iter(range(n)), Lock()
+
+    def __iter__(self):
+        return self
+
+    def __next__(self):
+        with self.lock:
+            i = next(self.left)
+        return i, self.make(i)
+
+
+class FeatureGrid(Estimator):
+    """A feature estimator and a classifier whose grid points share features.
+
+    ``fitMultiple`` fits and applies the features once for every distinct
+    setting of the feature estimator's own parameters; the matrix is written,
+    and all settings of the classifier are fitted on it.  The models are plain
+    ``PipelineModel``s, so a search over it equals one over a ``Pipeline``.
+    """
+
+    def __init__(self, features: Estimator, classifier: Estimator):
+        super().__init__()
+        self.features, self.classifier = features, classifier
+
+    def copy(self, extra=None) -> "FeatureGrid":
+        return FeatureGrid(self.features.copy(extra), self.classifier.copy(extra))
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        return next(iter(self.fitMultiple(df, [{}])))[1]
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[dict]) -> Iterator[tuple[int, PipelineModel]]:
+        own = [{p: v for p, v in pm.items() if p.parent == self.features.uid} for pm in paramMaps]
+        rest = [{p: v for p, v in pm.items() if p.parent != self.features.uid} for pm in paramMaps]
+        names = [tuple(sorted((p.name, v) for p, v in o.items())) for o in own]
+        distinct = dict(zip(names, own))
+        models = dict(self.features.fitMultiple(dataset, list(distinct.values())))
+        model = dict(zip(distinct, (models[i] for i in range(len(distinct)))))
+        # only the columns the classifier reads are written
+        cols = [self.classifier.getOrDefault(p) for p in self.classifier.params if p.name in ("featuresCol", "labelCol", "weightCol") and self.classifier.isDefined(p)]
+        matrix = Shared(lambda name: stored(model[name].transform(dataset).select(*cols), "grid-matrix"))
+        return OnDemand(lambda i: PipelineModel([model[names[i]], self.classifier.copy(rest[i]).fit(matrix(names[i]))]), len(rest))
 
 
 def fit_tfidf(df: DataFrame, tokens_col: str, out_col: str = "features", vocab_size: int = 5000,

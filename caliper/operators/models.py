@@ -117,9 +117,14 @@ def linear_regression(features_col="features", label_col="label") -> LinearRegre
     return LinearRegression(featuresCol=features_col, labelCol=label_col, regParam=0.0, solver="normal")
 
 
+#: Rows carry the node that they reached in every tree (checkpointed now and then under ``spark.checkpoint.dir``),
+#: so a level's tasks get the nodes to split and not all trees so far; a level of 300 trees fits one pass.
+FOREST_FIT = {"cacheNodeIds": True, "checkpointInterval": 5, "maxMemoryInMB": 1024}
+
+
 def random_forest_regressor(num_trees=300, max_depth=12, seed=42, features_col="features", label_col="label"):
     return RandomForestRegressor(featuresCol=features_col, labelCol=label_col, numTrees=num_trees,
-                                 maxDepth=max_depth, featureSubsetStrategy="all", seed=seed)
+                                 maxDepth=max_depth, featureSubsetStrategy="all", seed=seed, **FOREST_FIT)
 
 
 def logistic_regression(C: float = 1.0, n_rows: float = 1.0, l1: bool = False, max_iter: int = 1000,
@@ -141,7 +146,7 @@ def gbt_classifier(n_estimators=200, learning_rate=0.1, max_depth=3, seed=42, fe
 def random_forest_classifier(num_trees=300, max_depth=12, weight_col: str | None = None, seed=42,
                              features_col="features", label_col="label"):
     kw = dict(featuresCol=features_col, labelCol=label_col, numTrees=num_trees, maxDepth=max_depth,
-              featureSubsetStrategy="sqrt", seed=seed)
+              featureSubsetStrategy="sqrt", seed=seed, **FOREST_FIT)
     if weight_col:
         kw["weightCol"] = weight_col
     return RandomForestClassifier(**kw)

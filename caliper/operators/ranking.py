@@ -5,11 +5,11 @@ None of these moves a whole table, partition or group through one task:
 * ``hash_order``: a row's position in a seeded random order is ``md5(key|seed)``,
   a pure function of the row (stable on recompute, identical in SQL).
 * ``top_fraction``: the smallest ``ceil(f * n_c)`` hashes of each class,
-  exactly, without a shuffle of the rows: counts per (class, hash bucket),
-  a per-class boundary bucket, and a rank only inside that one bucket.
+  exactly, without a shuffle of the rows: counters per (class, hash bucket)
+  give each class's threshold row, and a map over the input flags by it.
 * ``prefix_sums``: running sums in a global order without the single-partition
-  window: quantile boundaries become literals, bucket totals (a bounded table)
-  give offsets, and the running sum is a window inside each bucket.
+  window: a written range-partitioned table, range totals (a row a range) as
+  offsets, and a running sum inside each range.
 * ``top_k``: ``row_number() <= k`` per group; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so a hot group is cut map-side.
 * ``lookup_join``: broadcast only under a bound known by construction;
@@ -18,12 +18,13 @@ None of these moves a whole table, partition or group through one task:
 
 from __future__ import annotations
 
-import math
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caliper.session import stored
+
 DEFAULT_HASH_DIGITS = 5          # 16**5 = 1,048,576 hash buckets per class: at 10^12 rows a boundary bucket holds ~10^6
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -41,6 +42,12 @@ def hash_bucket(h: Column, digits: int = DEFAULT_HASH_DIGITS) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
 
+def _beside(x: DataFrame, small: DataFrame, cols: list) -> DataFrame:
+    """Inner join on ``cols``; null is a value like any other."""
+    s = small.withColumnsRenamed({c: f"_on{i}" for i, c in enumerate(cols)})
+    return x.join(s, [x[c].eqNullSafe(s[f"_on{i}"]) for i, c in enumerate(cols)]).drop(*[f"_on{i}" for i in range(len(cols))])
+
+
 SUPER_BITS = 10  # buckets are grouped 1024 at a time for the two-level running count
 
 
@@ -60,54 +67,75 @@ def _bucket_running_count(counts: DataFrame, cls: list, max_broadcast_rows: int)
                                 F.lit(0)).alias("_soff"),
                      F.sum("_scnt").over(Window.partitionBy(*cls) if cls else Window.partitionBy()).alias("_n"))
     iw = Window.partitionBy(*cls, "_hi").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    return (c.join(sup, on=cls + ["_hi"], how="inner")
+    return (_beside(c, sup, cls + ["_hi"])
             .withColumn("_cum", F.col("_soff") + F.sum("_cnt").over(iw)).drop("_hi", "_soff"))
 
 
+def selection_threshold(df: DataFrame, keys, target: Callable[[Column], Column], class_col: str | None = None, seed: int = 42,
+                        digits: int = DEFAULT_HASH_DIGITS, want: str | None = None) -> DataFrame:
+    """``(class_col, _k, _thr)``: of every class, the ``_k``-th smallest ``(hash, keys)``, ``_k = target(rows of the class)``.
+
+    Found by counters: rows per (class, leading hash digits) with the smallest
+    and largest member.  The running count names the bucket of the wanted row,
+    which mostly is the bucket's first or last; where it is not, the bucket's
+    rows are counted by the next digits.  So a class costs one scan, or two if its
+    buckets hold many rows, and no rows travel.  ``want`` names a column with the
+    class's own target, which ``target`` may use as ``_want``.
+    """
+    keys, cls = _cols(keys), [class_col] if class_col else []
+    x = df.select(*dict.fromkeys([*cls, *keys]), *([want] if want else []), hash_order(keys, seed).alias("_h"))
+    x = x.select(*cls, F.struct("_h", *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).alias("_row"), "_h", *([F.col(want).alias("_want")] if want else []))
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.min("_row").alias("_lo"), F.max("_row").alias("_hi_row")]
+    found, rows, at, open_ = [], x, 0, None
+    while True:
+        bucket = F.conv(F.substring("_h", at + 1, digits), 16, 10).cast("int")
+        carry = ["_need"] if open_ is not None else []
+        counts = rows.withColumn("_b", bucket).groupBy(*cls, "_b").agg(*aggs, *([F.first("_want").alias("_want")] if want else []), *[F.first(c).alias(c) for c in carry])
+        counts = _bucket_running_count(counts, cls, DEFAULT_BROADCAST_ROWS)
+        k = F.col("_need") if carry else target(F.col("_n"))
+        edge = counts.withColumn("_k", k.cast("long")).where("_k > 0 and _cum >= _k").groupBy(*cls).agg(
+            F.min(F.struct("_b", "_cum", "_cnt", "_k", "_lo", "_hi_row")).alias("e")).where("e is not null")
+        need = F.col("e._k") - (F.col("e._cum") - F.col("e._cnt"))
+        edge = edge.select(*cls, need.alias("_need"), "e._cnt", "e._lo", "e._hi_row")
+        one = (F.col("_need") == 1) | (F.col("_lo._h") == F.col("_hi_row._h"))            # equal hashes: rows of equal keys go together
+        edge = edge.withColumn("_thr", F.when(F.col("_need") == F.col("_cnt"), F.col("_hi_row")).when(one, F.col("_lo")))
+        edge = stored(edge, "threshold")
+        found.append(edge.where("_thr is not null").select(*cls, "_thr"))
+        open_ = edge.where("_thr is null").select(*[F.col(c).alias("_cls") for c in cls], "_need", F.substring("_lo._h", 1, at + digits).alias("_head"))
+        if open_.isEmpty():
+            break
+        at += digits
+        # a row a class at most; without classes a single row
+        same = (x[class_col].eqNullSafe(open_["_cls"]) if cls else F.lit(True)) & (F.substring(x["_h"], 1, at) == open_["_head"])
+        rows = x.join(open_, same).drop("_cls", "_head")
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def top_fraction(df: DataFrame, keys, fraction: float | None = None, n: int | None = None,
                  class_col: str | None = None, seed: int = 42, flag_col: str = "selected",
-                 digits: int = DEFAULT_HASH_DIGITS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 n_col: str | None = None) -> DataFrame:
+                 digits: int = DEFAULT_HASH_DIGITS, n_col: str | None = None) -> DataFrame:
     """Flag the rows with the smallest ``ceil(fraction * n_c)`` (or ``n``) hashes of each class.
 
-    Equals ``row_number() over (partition by class order by md5(key|seed), key) <= k``.
-    All rows are returned with a boolean ``flag_col``.  ``n_col`` names a
+    Equals ``row_number() over (partition by class order by md5(key|seed), key) <= k``
+    for keys that are unique (rows of equal keys are flagged together).  All
+    rows are returned with a boolean ``flag_col``, by a map over the input: the
+    class's threshold comes from :func:`selection_threshold`.  ``n_col`` names a
     per-row column carrying each class's own target count instead.
     """
     keys = _cols(keys)
-    cls = [class_col] if class_col else []
-    x = df.withColumn("_h", hash_order(keys, seed)).withColumn("_b", hash_bucket(F.col("_h"), digits))
-    grp = cls + ["_b"]
-    counts = x.groupBy(*grp).agg(F.count(F.lit(1)).alias("_cnt"),
-                                 *([F.first(n_col).alias("_want")] if n_col else []))
-    counts = _bucket_running_count(counts, cls, max_broadcast_rows)
-    if n_col:
-        target = F.least(F.col("_want").cast("long"), F.col("_n"))
-    elif n is not None:
-        target = F.least(F.lit(int(n)), F.col("_n"))
-    else:
-        # ceil in exact decimal arithmetic (0.2 * 5 must be 1, not 1.0000000000000002).
-        frac = F.lit(str(fraction)).cast("decimal(20,10)")
-        target = F.ceil(frac * F.col("_n").cast("decimal(20,0)")).cast("long")
-    counts = counts.withColumn("_k", target)
-    # one row per class: first bucket whose running count reaches k
-    edge = (counts.where(F.col("_cum") >= F.col("_k"))
-            .groupBy(*cls).agg(F.min(F.struct("_b", "_cum", "_cnt", "_k")).alias("_e"))
-            .select(*cls, F.col("_e._b").alias("_eb"),
-                    (F.col("_e._k") - (F.col("_e._cum") - F.col("_e._cnt"))).alias("_need")))
-    if cls:
-            y = x.join(edge, on=cls, how="left")
-    else:
-        # one global class: the edge is a single row, read as scalar subqueries
-        y = x.withColumn("_eb", edge.select("_eb").scalar()).withColumn("_need", edge.select("_need").scalar())
-    # classes with k = 0 have no edge row: nothing selected
-    y = y.withColumn("_eb", F.coalesce(F.col("_eb"), F.lit(-1)))
-    inner = y.where(F.col("_b") != F.col("_eb")).withColumn(flag_col, F.col("_b") < F.col("_eb"))
-    rw = Window.partitionBy(*cls).orderBy("_h", *keys) if cls else Window.orderBy("_h", *keys)
-    boundary = (y.where(F.col("_b") == F.col("_eb"))
-                .withColumn(flag_col, F.row_number().over(rw) <= F.col("_need")))
-    drop = ["_h", "_b", "_eb", "_need"]
-    return inner.drop(*drop).unionByName(boundary.drop(*drop))
+    # ceil in exact decimal arithmetic (0.2 * 5 must be 1, not 1.0000000000000002)
+    share = lambda m: F.ceil(F.lit(str(fraction)).cast("decimal(20,10)") * m.cast("decimal(20,0)"))
+    target = ((lambda m: F.least(F.col("_want").cast("long"), m)) if n_col else (lambda m: F.least(F.lit(int(n)), m)) if n is not None else share)
+    thr = selection_threshold(df, keys, target, class_col, seed, digits, n_col)
+    row = F.struct(hash_order(keys, seed), *keys)
+    if not class_col:
+        return df.withColumn(flag_col, F.coalesce(row <= thr.select("_thr").scalar(), F.lit(False)))
+    thr = thr.select(F.col(class_col).alias("_cls"), "_thr")
+    y = df.join(thr, df[class_col].eqNullSafe(thr["_cls"]), "left")                       # a row a class: broadcast by its file size
+    return y.withColumn(flag_col, F.coalesce(row <= F.col("_thr"), F.lit(False))).drop("_cls", "_thr")
 
 
 def hash_rank(df: DataFrame, keys, class_col: str | None = None, seed: int = 42,
@@ -125,36 +153,30 @@ def hash_rank(df: DataFrame, keys, class_col: str | None = None, seed: int = 42,
     offs = _bucket_running_count(counts, cls, max_broadcast_rows).select(
         *cls, "_b", (F.col("_cum") - F.col("_cnt")).alias("_off"))
     rw = Window.partitionBy(*cls, "_b").orderBy("_h", *keys)
-    return (x.join(offs, on=cls + ["_b"], how="inner")
+    return (_beside(x, offs, cls + ["_b"])
             .withColumn(rank_col, (F.col("_off") + F.row_number().over(rw) - 1).cast("long"))
             .drop("_h", "_b", "_off"))
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], n_buckets: int | None = None,
-                bucket_rows: int = 200_000, prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``value_cols`` in ascending ``order_col`` order.
+                prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``value_cols`` in ascending ``order_col`` order, in two phases.
 
     ``order_col`` must be unique per row (group by it first: curves collapse tied
-    scores into one row).  Quantile boundaries are fetched once and become
-    literals, so the bucket of a row is a pure function of its value.  There is a
-    bucket for about every ``bucket_rows`` rows, so a window task stays that
-    small however many distinct values there are.
+    scores into one row).  The rows are dealt into ranges (``n_buckets``, else as
+    many as shuffle partitions) and written with the number of their range.
+    Then every range's totals, a row a range, are summed up to offsets and each
+    range takes its own running sum.  The limits of the ranges stay with Spark.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    n_buckets = n_buckets or max(8, math.ceil(df.count() / bucket_rows))
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(df.approxQuantile(order_col, qs, 0.1 / n_buckets))) if n_buckets > 1 else []
-    splits = [-math.inf] + [b for b in bounds if math.isfinite(b)] + [math.inf]
-    x = (Bucketizer(splits=splits, inputCol=order_col, outputCol="_bk", handleInvalid="keep")
-         .transform(df.withColumn(order_col, F.col(order_col).cast("double")))
-         .withColumn("_bk", F.col("_bk").cast("int")))
+    x = df.withColumn(order_col, F.col(order_col).cast("double"))
+    x = x.repartitionByRange(n_buckets, order_col) if n_buckets else x.repartitionByRange(order_col)
+    x = stored(x.withColumn("_bk", F.spark_partition_id()), "ranges")
     tot = x.groupBy("_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    ow = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
+    ow = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     offs = tot.select("_bk", *[F.coalesce(F.sum(f"_t_{v}").over(ow), F.lit(0)).alias(f"_o_{v}")
                                for v in value_cols])
     iw = Window.partitionBy("_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    y = x.join(F.broadcast(offs), on="_bk", how="inner")
+    y = x.join(offs, on="_bk", how="inner")
     for v in value_cols:
         y = y.withColumn(f"{prefix}{v}", F.col(f"_o_{v}") + F.sum(v).over(iw))
     return y.drop("_bk", *[f"_o_{v}" for v in value_cols])

@@ -77,7 +77,7 @@ SEGMENT_SQL = f"""seg AS (
 
 
 def labelled_docs(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", "text", "lang", "source").join(
+    return t.texts.select("doc_id", "text", "lang", "source").join(
         t.labels.select("doc_id", "quality", "toxic"), on="doc_id", how="inner")
 
 

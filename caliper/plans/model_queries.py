@@ -11,11 +11,12 @@ from caliper.operators import explain as XP
 from caliper.operators import models as M
 from caliper.operators import score as SC
 from caliper.operators import split as S
-from caliper.operators.features import SmoothTfidf
+from caliper.operators.features import FeatureGrid, SmoothTfidf
 from caliper.operators.stages import NGramRange, TextCleaner
 from caliper.plans.common import R, SCORED_SQL, WORD_RE, labelled_docs, scored_lineitem
 from caliper.plans.registry import Tables, query
 from caliper.session import stored
+from caliper.sources.io import spread
 
 
 # Coefficient table shared by J3 / E18 / E19 (a fitted naive log-odds model) ----------------
@@ -172,7 +173,7 @@ def text_logistic_l1(spark, sf):
 def _lineitem_rare(t: Tables):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_extendedprice",
                            (F.col("l_quantity") == 50).cast("double").alias("label"))
-    return stored(S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42, stratify="label"), "lineitem-split")
+    return stored(spread(S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42, stratify="label")), "lineitem-split")
 
 
 @query("m4_balanced_logistic", "M4 F12 F2 E8 E12")
@@ -193,7 +194,7 @@ def balanced_logistic(spark, sf):
 def _customer(t: Tables):
     c = t.customer.select("c_custkey", "c_acctbal", F.col("c_nationkey").cast("string").alias("nation"),
                           (F.col("c_mktsegment") == "BUILDING").cast("double").alias("label"))
-    return stored(S.train_test_split(c, "c_custkey", 0.2, 42, stratify="label"), "customer-split")
+    return stored(spread(S.train_test_split(c, "c_custkey", 0.2, 42, stratify="label")), "customer-split")
 
 
 @query("m6_gbt_classifier", "M6 F3 E5 E8")
@@ -220,7 +221,7 @@ def rf_classifier_balanced(spark, sf):
 def _orders(t: Tables):
     o = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_totalprice").alias("label"),
                         F.pmod(F.xxhash64("o_custkey"), F.lit(100)).cast("double").alias("cust_bucket"))
-    return stored(S.train_test_split(o, "o_orderkey", 0.2, 42), "orders-split")
+    return stored(spread(S.train_test_split(o, "o_orderkey", 0.2, 42)), "orders-split")
 
 
 @query("m8_gbt_regressor", "M8 E1 E2 E3 E21")
@@ -247,7 +248,8 @@ def what_if(spark, sf):
 def rf_regressor(spark, sf):
     li = Tables(spark, sf).lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
                                            F.col("l_extendedprice").alias("label"))
-    d = stored(S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42), "lineitem-split")
+    # 300 trees are much work per row: the split is written in as many files as there are cores
+    d = stored(spread(S.train_test_split(li, ["l_orderkey", "l_linenumber"], 0.2, 42)), "lineitem-split")
     pipe = Pipeline(stages=M.tabular_stages(["l_quantity", "l_discount", "l_tax"], impute=True)
                     + [M.random_forest_regressor(300, 12)])
     model = pipe.fit(d.where("split = 'train'"))
@@ -285,13 +287,15 @@ def _grid(spark, d, n_folds: int, vocab: list[int], grams: list[str], cs: list[f
 
     Cleaning and n-grams do not depend on the training rows, so they are made
     once (``uni`` and ``bi`` token columns, written) and the grid varies which one is read.
+    A vocabulary is fitted once per fold and column, a matrix made once per
+    vocabulary, and the strengths of the penalty share it.
     """
     d = stored(S.stratified_folds(d, "doc_id", "label", k=n_folds), name)
     n = d.count()
     n_train = n * (n_folds - 1) / n_folds
     tfidf = SmoothTfidf(grams[0], "features")
     lr = M.logistic_regression(C=1.0, n_rows=n_train)
-    pipe = Pipeline(stages=[tfidf, lr])
+    pipe = FeatureGrid(tfidf, lr)
     grid = {tfidf.inputCol: grams, tfidf.vocabSize: vocab, lr.regParam: [M.refit_penalty(c, n_train) for c in cs]}
     cv = M.grid_search(pipe, grid, "fold", parallelism=4, n_folds=n_folds)
     rows = []

@@ -249,7 +249,7 @@ def median(spark, sf):
 WITH t AS (SELECT unnest(regexp_extract_all(lower(text), '{WORD_RE}')) AS term FROM documents)
 SELECT term, count(*) AS count FROM t GROUP BY term ORDER BY count DESC, term LIMIT 25""")
 def top_terms(spark, sf):
-    d = Tables(spark, sf).documents.select(X.word_tokens(X.lower("text")).alias("tokens"))
+    d = Tables(spark, sf).texts.select(X.word_tokens(X.lower("text")).alias("tokens"))
     return A.token_counts(d, "tokens", top_n=25)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caliper.sources.io import read_table
+from caliper.sources.io import read_table, spread
 
 DIGITS = 6
 
@@ -71,6 +71,11 @@ class Tables:
             raise AttributeError(name)
         return read_table(self.spark, self.sf_dir, name)
 
+    @property
+    def texts(self) -> DataFrame:
+        """``documents`` for work on their texts: a small file is dealt to all cores."""
+        return spread(self.documents)
+
 
 def sql_list(words) -> str:
     """A SQL list literal of strings (quotes doubled)."""

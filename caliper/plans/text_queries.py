@@ -78,7 +78,7 @@ def strip_html(spark, sf):
 SELECT doc_id, md5(array_to_string(toks, ' ')) AS h, CAST(len(toks) AS INTEGER) AS n_tokens
 FROM (SELECT doc_id, {sentiment_sql('text')} AS toks FROM documents)""")
 def sentiment_clean(spark, sf):
-    d = Tables(spark, sf).documents
+    d = Tables(spark, sf).texts
     toks = X.clean_sentiment("text")
     return d.select("doc_id", F.md5(X.join_tokens(toks)).alias("h"), F.size(toks).alias("n_tokens"))
 
@@ -87,7 +87,7 @@ def sentiment_clean(spark, sf):
 SELECT count(*) FILTER (WHERE c <> '') AS kept, count(*) FILTER (WHERE c = '') AS dropped
 FROM (SELECT array_to_string({sentiment_sql('text')}, ' ') AS c FROM documents)""")
 def drop_empty_clean(spark, sf):
-    d = Tables(spark, sf).documents.select(X.join_tokens(X.clean_sentiment("text")).alias("c"))
+    d = Tables(spark, sf).texts.select(X.join_tokens(X.clean_sentiment("text")).alias("c"))
     return d.agg(F.count_if(F.col("c") != "").alias("kept"), F.count_if(F.col("c") == "").alias("dropped"))
 
 
@@ -95,7 +95,7 @@ def drop_empty_clean(spark, sf):
 SELECT doc_id, md5(c) AS h, CAST(length(c) AS INTEGER) AS length FROM (SELECT doc_id, {spam_sql('text')} AS c FROM documents)""")
 def spam_clean(spark, sf):
     c = X.clean_spam("text")
-    return Tables(spark, sf).documents.select("doc_id", F.md5(c).alias("h"), F.length(c).alias("length"))
+    return Tables(spark, sf).texts.select("doc_id", F.md5(c).alias("h"), F.length(c).alias("length"))
 
 
 @query("x23_spam_clean_trimmed", "X4", sql=f"""
@@ -110,7 +110,7 @@ SELECT doc_id, md5(array_to_string(toks, ' ')) AS h, CAST(len(toks) AS INTEGER)
 FROM (SELECT doc_id, {topic_sql('text')} AS toks FROM documents)""")
 def topic_clean(spark, sf):
     toks = X.clean_topic("text")
-    return Tables(spark, sf).documents.select("doc_id", F.md5(X.join_tokens(toks)).alias("h"),
+    return Tables(spark, sf).texts.select("doc_id", F.md5(X.join_tokens(toks)).alias("h"),
                                               F.size(toks).alias("n_tokens"))
 
 
@@ -133,7 +133,7 @@ def punct_digits(spark, sf):
 @query("x19_word_count", "X19 X8 X18", sql=f"""
 SELECT doc_id, CAST(len({ws_tokens_sql('text')}) AS INTEGER) AS words, CAST(length(text) AS INTEGER) AS chars FROM documents""")
 def word_count(spark, sf):
-    d = Tables(spark, sf).documents
+    d = Tables(spark, sf).texts
     return d.select("doc_id", X.word_count("text").alias("words"), X.char_length("text").alias("chars"))
 
 
@@ -143,7 +143,7 @@ g AS (SELECT unnest(list_transform(list_zip(toks[1:len(toks) - 1], toks[2:len(to
                                    lambda p: p[1] || ' ' || p[2])) AS gram FROM t WHERE len(toks) >= 2)
 SELECT gram, count(*) AS count FROM g GROUP BY gram ORDER BY count DESC, gram LIMIT 30""")
 def bigram_counts(spark, sf):
-    d = Tables(spark, sf).documents.select(X.ngrams(X.clean_sentiment("text"), 2, 2).alias("grams"))
+    d = Tables(spark, sf).texts.select(X.ngrams(X.clean_sentiment("text"), 2, 2).alias("grams"))
     return A.token_counts(d, "grams", top_n=30, term_col="gram")
 
 
@@ -162,7 +162,7 @@ MARKED = "Vi\u1ec7t \u1e01\u1e13 \u01a1\u1edb \u0101\u0323 \u03ac \u0439"
 @query("x21_strip_accents", "X21", sql=f"""
 SELECT doc_id, md5({accents_sql(f"text || '{MARKED}'")}) AS h FROM documents""")
 def strip_accents(spark, sf):
-    d = Tables(spark, sf).documents
+    d = Tables(spark, sf).texts
     return d.select("doc_id", F.md5(X.strip_accents(F.concat("text", F.lit(MARKED)))).alias("h"))
 
 
@@ -173,7 +173,7 @@ SELECT doc_id,
   CAST(len(list_filter({ws_tokens_sql('text')}, lambda t: length(t) >= 3)) AS INTEGER) AS n_min3
 FROM documents""")
 def vectorizer_tokens(spark, sf):
-    d = Tables(spark, sf).documents
+    d = Tables(spark, sf).texts
     return d.select("doc_id", F.size(X.vectorizer_tokens(X.lower("text"), "default")).alias("n_default"),
                     F.size(X.vectorizer_tokens(X.lower("text"), "letters3")).alias("n_letters3"),
                     F.size(X.min_length(X.whitespace_tokens("text"), 3)).alias("n_min3"))
@@ -193,7 +193,7 @@ SELECT source, max(CASE WHEN rk = 1 THEN upper(substr(term, 1, 1)) || substr(ter
                max(CASE WHEN rk = 2 THEN upper(substr(term, 1, 1)) || substr(term, 2) END) AS topic_name
 FROM r GROUP BY source""")
 def topic_names(spark, sf):
-    d = Tables(spark, sf).documents.select(
+    d = Tables(spark, sf).texts.select(
         "source", X.remove_stopwords(X.vectorizer_tokens(X.lower("text"), "letters3"), topic_stops()).alias("toks"))
     top2 = A.token_counts(d, "toks", by="source", top_n=2)
     words = top2.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("w"))
@@ -203,7 +203,7 @@ def topic_names(spark, sf):
 # Text features -------------------------------------------------------------------------
 def topic_tf(t: Tables):
     """Topic vectorizer input: lower -> strip accents -> >= 3 ASCII letters (sklearn token pattern)."""
-    d = t.documents.select("doc_id", X.vectorizer_tokens(X.strip_accents(X.lower("text")), "letters3").alias("toks"))
+    d = t.texts.select("doc_id", X.vectorizer_tokens(X.strip_accents(X.lower("text")), "letters3").alias("toks"))
     return FT.term_frequencies(d, "doc_id", "toks")
 
 

@@ -22,6 +22,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return nan_to_null(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
+    """``df`` in at least ``min_tasks`` tasks (the session's cores unless given), for scans that feed heavy work per row.
+
+    A scan has as many tasks as its files have row groups or splits.  Only one
+    with fewer than ``min_tasks`` is dealt out anew; Catalyst prunes its columns
+    before, so just those that are used move.  A large table has splits enough
+    and is left as it is.
+    """
+    least = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Replace NaN by NULL in floating columns (pandas' notion of missing)."""
     fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}

@@ -30,6 +30,28 @@ def test_top_fraction_exact(spark):
     assert got == exp
 
 
+def test_top_fraction_needs_no_shuffle_of_rows(spark):
+    rows, df = _df(spark)
+    df = df.withColumn("c", F.when(F.col("c") < 3, F.col("c")))                  # a null class
+    out = RK.top_fraction(df, "k", fraction=0.2, class_col="c", digits=1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    exp = set()
+    for c in range(4):
+        ks = sorted((k for k, cc in rows if cc == c), key=lambda k: (_h(k), k))
+        exp |= set(ks[: math.ceil(0.2 * len(ks))])
+    assert {r.k for r in out.where("selected").collect()} == exp
+
+
+def test_top_fraction_of_nothing(spark):
+    rows, df = _df(spark, 50)
+    assert RK.top_fraction(df, "k", n=0).where("selected").count() == 0
+    assert RK.top_fraction(df, "k", n=10 ** 6).where("selected").count() == 50
+    assert RK.top_fraction(df.limit(0), "k", fraction=0.5).count() == 0
+    twice = df.unionByName(df)
+    assert RK.top_fraction(twice, "k", n=1).where("selected").count() == 2        # equal keys go together
+
+
 def test_hash_rank_exact(spark):
     rows, df = _df(spark, 500)
     got = {r.k: r.rank for r in RK.hash_rank(df, "k", class_col="c", digits=2).collect()}
