@@ -1,12 +1,17 @@
 """Exact k-nearest neighbours (J4) and SMOTE oversampling.
 
-kNN works on blocks.  Both sides are cut into blocks of about ``block_rows``
-rows by a hash of the key; every pair of a query block and a reference block
-meets in one task, which computes the distances from coordinate differences
-(no expanded squares, so nothing cancels) and emits each query row's k best of
-that block, all candidates counted.  A final top-k over the per-block winners
-is exact.  Nothing passes through the driver; a task holds two blocks; rows
-emitted are ``n_query * k * blocks``.
+kNN works on metric partitions.  A bounded number of pivots (the reference
+rows of smallest hash) cut the reference rows into the cells of their nearest
+pivots, and large cells into pieces of about ``block_rows`` rows.  A query row
+first searches the cell of its own nearest pivot, which bounds the distance of
+its k-th neighbour.  Then it goes only to the cells that may hold a nearer
+row: by the triangle inequality a cell of radii ``lo..hi`` around pivot p holds
+nothing nearer than ``d(q, p) - hi`` and ``lo - d(q, p)``, nor than the distance
+of q to the plane halfway between p and its own pivot.  In a piece, distances
+come from coordinate differences (no expanded squares, so nothing cancels) and
+each query row's k best are emitted, all candidates counted.  A final top-k
+over the winners per piece is exact.  Only the pivots and the cells' radii (at
+most ``max_pivots`` rows) pass through the driver.
 
 SMOTE replicates each minority row a bounded number of times (the
 oversampling ratio), picks the neighbour and the gap from hashes of
@@ -24,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caliper.operators.ranking import hash_rank, top_k
+from caliper.session import stored
 
 
 def _nearest_in_block(key: str, k: int, exclude_self: bool, rows_at_once: int = 256):
@@ -49,21 +55,108 @@ def _nearest_in_block(key: str, k: int, exclude_self: bool, rows_at_once: int =
     return nearest
 
 
+class Cells:
+    """Pivots, and of each pivot's cell the rows, the radii and the pieces."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.apart = self.distances(pivots)                # between pivots
+        self.lo, self.hi, self.pieces = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf), np.zeros(len(pivots), int)
+
+    def distances(self, v: np.ndarray) -> np.ndarray:
+        d2 = np.zeros((len(v), len(self.pivots)))
+        for j in range(self.pivots.shape[1]):
+            d2 += (v[:, j, None] - self.pivots[None, :, j]) ** 2
+        return np.sqrt(d2)
+
+    def near(self, v: np.ndarray, home: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Cells, but the own one, that may hold a row within ``reach`` of each row of ``v``."""
+        d = self.distances(v)
+        own = d[np.arange(len(v)), home]
+        apart = self.apart[home]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = np.where(apart > 0, (d ** 2 - own[:, None] ** 2) / (2 * apart), 0.0)
+        least = np.maximum(np.maximum(d - self.hi, self.lo - d), plane)
+        slack = 1e-9 * (1 + d + own[:, None])             # more than rounding can add to a bound
+        ok = (self.pieces > 0) & (least - slack <= reach[:, None])
+        ok[np.arange(len(v)), home] = False
+        return ok
+
+
+def _vectors(column) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.zeros((0, 1))
+
+
+def _assign(cells, key: str):
+    """``key, v, cell, radius``: rows with their nearest pivot (the first of equals)."""
+    def run(frames):
+        for df in frames:
+            if len(df):
+                d = cells.value.distances(_vectors(df["v"]))
+                cell = d.argmin(1)
+                yield pd.DataFrame({key: df[key], "v": df["v"], "cell": cell.astype(np.int32), "radius": d[np.arange(len(df)), cell]})
+    return run
+
+
+def _ship(cells, key: str):
+    """``key, v, cell``: a query row for every further cell that may hold a nearer neighbour."""
+    def run(frames):
+        for df in frames:
+            if len(df):
+                row, cell = np.nonzero(cells.value.near(_vectors(df["v"]), df["cell"].to_numpy(), df["reach"].to_numpy()))
+                yield pd.DataFrame({key: df[key].to_numpy()[row], "v": df["v"].to_numpy()[row], "cell": cell.astype(np.int32)})
+    return run
+
+
+def cells_of(ref: DataFrame, key: str, block_rows: int, max_pivots: int) -> tuple[Cells, DataFrame]:
+    """The cells and the rows ``key, v, cell, radius, piece`` of ``ref (key, v)`` (written)."""
+    spark, kind = ref.sparkSession, ref.schema[key].dataType.simpleString()
+    n = min(max_pivots, max(1, math.ceil(ref.count() / block_rows)))
+    picked = ref.orderBy(F.xxhash64(key, F.lit("pivot")), key).limit(n).select("v").collect()     # at most ``max_pivots`` rows
+    cells = Cells(np.array([r.v for r in picked], np.float64) if picked else np.zeros((0, 0)))
+    if not picked:
+        return cells, stored(ref.withColumns({"cell": F.lit(0), "radius": F.lit(0.0), "piece": F.lit(0)}), "knn-cells")
+    rows = stored(ref.mapInPandas(_assign(spark.sparkContext.broadcast(cells), key), f"{key} {kind}, v array<double>, cell int, radius double"), "knn-cells")
+    for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("radius").alias("lo"), F.max("radius").alias("hi")).collect():
+        cells.lo[r.cell], cells.hi[r.cell], cells.pieces[r.cell] = r.lo, r.hi, math.ceil(r.n / block_rows)
+    return cells, rows.withColumn("piece", F.pmod(F.xxhash64(key, F.lit("piece")), _pieces(cells)).cast("int"))
+
+
+def _pieces(cells: Cells):
+    """Column: the pieces of ``cell``."""
+    return F.get(F.array(*[F.lit(max(1, int(n))) for n in cells.pieces]), F.col("cell"))
+
+
+def shipments(query: DataFrame, cells: Cells, key: str, kind: str) -> DataFrame:
+    """``key, v, cell, piece``: the rows of ``query (key, v, cell, reach)`` for each further piece that they must search."""
+    block = query.sparkSession.sparkContext.broadcast(cells)
+    far = query.mapInPandas(_ship(block, key), f"{key} {kind}, v array<double>, cell int")
+    return far.withColumn("piece", F.explode(F.sequence(F.lit(0), _pieces(cells) - 1)))
+
+
 def knn(query: DataFrame, ref: DataFrame, key: str, vec_col: str, k: int = 5, exclude_self: bool = True,
-        block_rows: int = 4096) -> DataFrame:
+        block_rows: int = 4096, max_pivots: int = 1024) -> DataFrame:
     """``(key, rank, nn_key, dist)``: the k nearest ``ref`` rows of every ``query`` row (Euclidean, ties by key)."""
-    blocks = lambda df: max(1, math.ceil(df.count() / block_rows))
-    nq, nr = blocks(query), blocks(ref)
-    block = lambda df, n: (F.pmod(F.xxhash64(F.col(key)), F.lit(n))).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    v = F.col(vec_col).cast("array<double>").alias("v")
-    left = query.select(key, v, block(query, nq).alias("qb"), every(nr).alias("rb"))
-    right = ref.select(key, v, block(ref, nr).alias("rb"), every(nq).alias("qb"))
     kind = query.schema[key].dataType.simpleString()
-    best = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInPandas(
-        _nearest_in_block(key, k, exclude_self), f"{key} {kind}, nn_key {kind}, dist double")
-    return top_k(best, key, [F.col("dist").asc(), F.col("nn_key").asc()], k, rank_col="rank").select(
-        key, "rank", "nn_key", "dist")
+    out = f"{key} {kind}, nn_key {kind}, dist double"
+    v = F.col(vec_col).cast("array<double>").alias("v")
+    cells, rows = cells_of(ref.select(key, v), key, block_rows, max_pivots)
+    if not len(cells.pivots):
+        return query.sparkSession.createDataFrame([], f"{key} {kind}, rank int, nn_key {kind}, dist double")
+    block = query.sparkSession.sparkContext.broadcast(cells)
+    asked = stored(query.select(key, v).mapInPandas(_assign(block, key), f"{key} {kind}, v array<double>, cell int, radius double"), "knn-queries")
+
+    def search(q: DataFrame) -> DataFrame:
+        r = rows.select(key, "v", "cell", "piece").groupBy("cell", "piece")
+        return q.select(key, "v", "cell", "piece").groupBy("cell", "piece").cogroup(r).applyInPandas(_nearest_in_block(key, k, exclude_self), out)
+
+    order = [F.col("dist").asc(), F.col("nn_key").asc()]
+    home = stored(top_k(search(asked.withColumn("piece", F.explode(F.sequence(F.lit(0), _pieces(cells) - 1)))), key, order, k), "knn-home")
+    # with k rows at home, the k-th distance is as far as a nearer neighbour can be
+    reach = home.groupBy(key).agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("reach"))
+    far = asked.join(reach, key, "left").select(key, "v", "cell", F.coalesce("reach", F.lit(math.inf)).alias("reach"))
+    best = home.unionByName(search(shipments(far, cells, key, kind)))
+    return top_k(best, key, order, k, rank_col="rank").select(key, "rank", "nn_key", "dist")
 
 
 def smote(df: DataFrame, key: str, vec_col: str, label_col: str, minority=1, k: int = 5, seed: int = 42,

@@ -290,7 +290,7 @@ def _grid(spark, d, n_folds: int, vocab: list[int], grams: list[str], cs: list[f
     A vocabulary is fitted once per fold and column, a matrix made once per
     vocabulary, and the strengths of the penalty share it.
     """
-    d = stored(S.stratified_folds(d, "doc_id", "label", k=n_folds), name)
+    d = stored(S.stratified_folds(stored(d, f"{name}-tokens"), "doc_id", "label", k=n_folds), name)
     n = d.count()
     n_train = n * (n_folds - 1) / n_folds
     tfidf = SmoothTfidf(grams[0], "features")

@@ -211,3 +211,27 @@ def test_median_of_a_column_without_values(spark):
     df = spark.createDataFrame([(1.0, None), (3.0, None), (None, None)], "a double, b double")
     out = M.MedianImputer(["a", "b"]).fit(df).transform(df).collect()
     assert sorted(r.a__imp for r in out) == [1.0, 2.0, 3.0] and all(r.b__imp is None for r in out)
+
+
+def test_knn_ships_rows_only_where_a_nearer_one_can_be(spark):
+    """Clustered rows, ties included: equal to brute force, and far fewer shipments than rows times blocks."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(20, 3)) * 100
+    pts = np.round(np.concatenate([c + r.normal(size=(60, 3)) for c in centres]), 1)
+    pts[5] = pts[6] = pts[7]
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)], "k long, v array<double>")
+    got = {(x.k, x["rank"]): (x.nn_key, x.dist) for x in SM.knn(df, df, "k", "v", k=4, block_rows=30).collect()}
+    d = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(2))
+    for i in range(len(pts)):
+        best = sorted((d[i, j], j) for j in range(len(pts)) if j != i)[:4]
+        assert [got[i, n + 1][0] for n in range(4)] == [j for _, j in best]
+        assert np.allclose([got[i, n + 1][1] for n in range(4)], [x for x, _ in best])
+    cells, rows = SM.cells_of(df, "k", 30, 1024)
+    ask = rows.withColumn("reach", F.lit(3.0))
+    blocks = int(cells.pieces.sum())
+    assert blocks >= 40 and SM.shipments(ask, cells, "k", "long").count() < len(pts) * blocks / 8
+    assert SM.knn(df, df.limit(0), "k", "v").count() == 0 and SM.knn(df.limit(0), df, "k", "v").count() == 0
+    few = SM.knn(df, df.where("k < 3"), "k", "v", k=4).groupBy("k").count()
+    assert {x["count"] for x in few.where("k >= 3").collect()} == {3}
