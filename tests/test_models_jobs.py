@@ -235,3 +235,35 @@ def test_knn_ships_rows_only_where_a_nearer_one_can_be(spark):
     assert SM.knn(df, df.limit(0), "k", "v").count() == 0 and SM.knn(df.limit(0), df, "k", "v").count() == 0
     few = SM.knn(df, df.where("k < 3"), "k", "v", k=4).groupBy("k").count()
     assert {x["count"] for x in few.where("k >= 3").collect()} == {3}
+
+
+def test_nmf_equals_dense_coordinate_descent(spark):
+    """The distributed passes, scaled penalties included, are those of a dense factorisation from the same start."""
+    rng = np.random.default_rng(3)
+    V = np.maximum(0, rng.random((40, 4)) @ rng.random((4, 15)) - 0.6)
+    Vdf = spark.createDataFrame([(d, j, float(V[d, j])) for d in range(40) for j in range(15) if V[d, j] > 0], "doc_id int, idx int, v double")
+    Vd = spark.createDataFrame([(d, [j for j in range(15) if V[d, j] > 0], [float(x) for x in V[d] if x > 0]) for d in range(40)], "doc int, idx array<int>, val array<double>")
+    W, H = NMF._nndsvda(Vd, 40, 15, 4, float(V.sum() / 600), seed=42)
+    W = np.array([r.w for r in W.orderBy("doc").collect()])
+    objective = lambda: (0.5 * ((V - W @ H) ** 2).sum() + 0.002 * 15 * (0.5 * W.sum() + 0.25 * (W ** 2).sum())
+                         + 0.001 * 40 * (0.5 * H.sum() + 0.25 * (H ** 2).sum()))
+    values = [objective()]
+    for _ in range(5):
+        W = NMF.coordinate_sweeps(W, V @ H.T, H @ H.T, 0.015, 0.015, 10)
+        H = NMF.coordinate_sweeps(H.T, V.T @ W, W.T @ W, 0.02, 0.02, 10).T
+        values.append(objective())
+    assert all(y <= x for x, y in zip(values, values[1:]))
+    res = NMF.fit_nmf(Vdf, "doc_id", 15, k=4, max_iter=5, tol=0.0, init="nndsvda", docs=spark.range(40).selectExpr("cast(id as int) doc_id"),
+                      alpha_w=0.002, alpha_h=0.001, l1_ratio=0.5)
+    assert np.allclose(res.H, H, atol=1e-6)
+    assert np.allclose([r.w for r in res.W.orderBy("doc_id").collect()], W, atol=1e-6)
+
+
+def test_nndsvda_equals_the_dense_start(spark):
+    rng = np.random.default_rng(5)
+    V = rng.random((30, 12))
+    Vd = spark.createDataFrame([(d, list(range(12)), [float(x) for x in V[d]]) for d in range(30)], "doc long, idx array<int>, val array<double>")
+    W, H = NMF._nndsvda(Vd, 30, 12, 3, float(V.mean()), seed=1)
+    u, s, vt = np.linalg.svd(V, full_matrices=False)
+    W = np.array([r.w for r in W.orderBy("doc").collect()])
+    assert np.allclose(W[:, 0], np.sqrt(s[0]) * np.abs(u[:, 0]), atol=1e-6) and np.allclose(H[0], np.sqrt(s[0]) * np.abs(vt[0]), atol=1e-6)
