@@ -122,7 +122,7 @@ class SmoothTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, D
 
     vocabSize = Param(Params._dummy(), "vocabSize", "max_features", TypeConverters.toInt)
     minDF = Param(Params._dummy(), "minDF", "min document frequency (count or share)", TypeConverters.toFloat)
-    maxDF = Param(Params._dummy(), "maxDF", "max document frequency (count or share)", TypeConverters.toFloat)
+    maxDF = Param(Params._dummy(), "maxDF", "max document frequency (count above 1, or share)", TypeConverters.toFloat)
 
     def __init__(self, inputCol="tokens", outputCol="features", vocabSize=5000, minDF=1.0, maxDF=1.0):
         super().__init__()
@@ -131,9 +131,10 @@ class SmoothTfidf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, D
 
     def _vocabulary(self, df: DataFrame) -> tuple[list[str], np.ndarray]:
         """Terms by falling corpus count, at most ``vocabSize``, and ``idf + 1`` of each."""
-        inp, out = self.getInputCol(), "_tf"
-        cv = CountVectorizer(inputCol=inp, outputCol=out, vocabSize=self.getOrDefault(self.vocabSize),
-                             minDF=self.getOrDefault(self.minDF), maxDF=self.getOrDefault(self.maxDF)).fit(df)
+        inp, out, most = self.getInputCol(), "_tf", self.getOrDefault(self.maxDF)
+        # 1.0 is the share of all documents; Spark would read it as one document
+        bound = {} if most == 1.0 else {"maxDF": most}
+        cv = CountVectorizer(inputCol=inp, outputCol=out, vocabSize=self.getOrDefault(self.vocabSize), minDF=self.getOrDefault(self.minDF), **bound).fit(df)
         return cv.vocabulary, IDF(inputCol=out, outputCol="_idf").fit(cv.transform(df)).idf.toArray() + 1.0
 
     def _model(self, terms: list[str], scale: np.ndarray) -> PipelineModel:

@@ -116,6 +116,18 @@ def top_bottom_terms(spark, sf):
     return XP.top_bottom_terms(logodds_coefs(Tables(spark, sf)), 20)
 
 
+@query("f3_one_hot", "F3", sql="""
+SELECT c_custkey, concat_ws(',', CAST(c_mktsegment = 'AUTOMOBILE' AS INTEGER), CAST(c_mktsegment = 'BUILDING' AS INTEGER),
+       CAST(c_mktsegment = 'FURNITURE' AS INTEGER), CAST(c_mktsegment = 'MACHINERY' AS INTEGER)) AS slots FROM customer""")
+def one_hot(spark, sf):
+    """Levels seen in training, in alphabetical order; the one left out of it is all zeros."""
+    from pyspark.ml.functions import vector_to_array
+    c = Tables(spark, sf).customer.select("c_custkey", "c_mktsegment")
+    model = Pipeline(stages=M.one_hot_stages(["c_mktsegment"])).fit(c.where("c_mktsegment <> 'HOUSEHOLD'"))
+    slots = F.transform(vector_to_array("c_mktsegment__ohe"), lambda x: x.cast("int").cast("string"))
+    return model.transform(c).select("c_custkey", F.array_join(slots, ",").alias("slots"))
+
+
 @query("m1_linear_regression_1d", "M1 F4 M11", sql="""
 SELECT floor(regr_slope(l_extendedprice, l_quantity) * 10000.0 + 0.5) / 10000.0 + 0.0 AS slope,
        floor(regr_intercept(l_extendedprice, l_quantity) * 10000.0 + 0.5) / 10000.0 + 0.0 AS intercept FROM lineitem""")

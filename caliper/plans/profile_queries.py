@@ -195,6 +195,18 @@ def histogram_by_class(spark, sf):
     return A.histogram(Tables(spark, sf).lineitem, "l_extendedprice", bins=10, by="l_returnflag")
 
 
+@query("a16b_histogram_own_bins", "A16", sql=f"""
+WITH s AS (SELECT l_returnflag, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1),
+b AS (SELECT l.l_returnflag, CAST(least(floor((l_extendedprice - lo) * 10 / (hi - lo)), 9) AS INTEGER) AS bin, lo, hi
+      FROM lineitem l JOIN s USING (l_returnflag) WHERE l_extendedprice IS NOT NULL)
+SELECT l_returnflag, bin, {R("min(lo) + (min(hi) - min(lo)) * bin / 10")} AS bin_lo,
+       {R("min(lo) + (min(hi) - min(lo)) * (bin + 1) / 10")} AS bin_hi, count(*) AS count
+FROM b GROUP BY l_returnflag, bin""")
+def histogram_own_bins(spark, sf):
+    """Each class over its own range."""
+    return A.histogram(Tables(spark, sf).lineitem, "l_extendedprice", bins=10, by="l_returnflag", shared_bins=False)
+
+
 @query("a17_kde", "A17", sql=f"""
 WITH s AS (SELECT count(value) AS n, stddev_samp(value) AS sd, min(value) AS lo, max(value) AS hi
            FROM events WHERE value IS NOT NULL),
@@ -209,6 +221,23 @@ def kde(spark, sf):
     return A.kde(Tables(spark, sf).events, "value", grid_size=200)
 
 
+@query("a17b_kde_binned", "A17", sql=f"""
+WITH s AS (SELECT count(value) AS n, stddev_samp(value) AS sd, min(value) AS lo, max(value) AS hi
+           FROM events WHERE value IS NOT NULL),
+p AS (SELECT n, lo, hi, sd * pow(CAST(n AS DOUBLE), -0.2) AS h, (hi - lo) / 2048 AS bw FROM s),
+q AS (SELECT n, h, lo, bw, lo - 3.0 * h AS g0, (hi - lo + 6.0 * h) / 199 AS step FROM p),
+u AS (SELECT (value - lo) / bw AS u, least(floor((value - lo) / bw), 2047) AS b FROM events, q WHERE value IS NOT NULL),
+b AS (SELECT b, count(*) AS c, sum(u - b) AS f FROM u GROUP BY b),
+m AS (SELECT i, sum(wt) AS wt FROM (SELECT b AS i, c - f AS wt FROM b UNION ALL SELECT b + 1, f FROM b) GROUP BY i),
+g AS (SELECT CAST(range AS INTEGER) AS i FROM range(200))
+SELECT g.i, {R("any_value(g0) + g.i * any_value(step)")} AS x,
+       {R("sum(wt * exp(-0.5 * pow((g0 + g.i * step - (lo + m.i * bw)) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi()))")} AS density
+FROM g CROSS JOIN q CROSS JOIN m GROUP BY g.i""")
+def kde_binned(spark, sf):
+    """The density by linear binning: its cost does not grow with rows times grid points."""
+    return A.kde(Tables(spark, sf).events, "value", grid_size=200, binned=True)
+
+
 @query("a18_box_stats", "A18", sql=f"""
 WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med,
                   quantile_cont(value, 0.75) AS q3 FROM events WHERE value IS NOT NULL GROUP BY 1),
@@ -367,6 +396,13 @@ def ratio_format(spark, sf):
                     (F.col("m") / 1000.0).alias("mean_k"))
 
 
+@query("p14b_fixed_decimal", "P14", sql="""
+SELECT o_orderstatus, format('{:,.2f}', CAST(sum(CAST(o_totalprice AS DECIMAL(38,2))) AS DOUBLE)) AS total FROM orders GROUP BY 1""")
+def fixed_decimal(spark, sf):
+    g = Tables(spark, sf).orders.groupBy("o_orderstatus").agg(F.sum(F.col("o_totalprice").cast("decimal(38,2)")).cast("double").alias("t"))
+    return g.select("o_orderstatus", C.fixed_decimal("t", 2).alias("total"))
+
+
 _PTYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 

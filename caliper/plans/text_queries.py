@@ -274,3 +274,12 @@ def vocab_transform(spark, sf):
     vocab = FT.fit_vocabulary(topic_tf(t), n, max_features=5000, min_df=2, max_df=0.95)
     b = t.benchmark.select("item_id", X.vectorizer_tokens(X.strip_accents(X.lower("text")), "letters3").alias("toks"))
     return FT.apply_vocabulary(b, "item_id", "toks", vocab).select("item_id", "term", "tf")
+
+
+@query("x24b_keyword_split", "X24", sql="""
+SELECT item_id, len(k) AS n, array_to_string(k, '|') AS keywords FROM (
+  SELECT item_id, list_filter(list_transform(string_split(text, ','), lambda x: trim(x)), lambda x: x <> '') AS k FROM benchmark)""")
+def keyword_split(spark, sf):
+    """Comma separated entries, trimmed, empty ones dropped."""
+    k = Tables(spark, sf).benchmark.select("item_id", X.keyword_split("text").alias("k"))
+    return k.select("item_id", F.size("k").cast("long").alias("n"), F.array_join("k", "|").alias("keywords"))

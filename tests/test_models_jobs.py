@@ -267,3 +267,52 @@ def test_nndsvda_equals_the_dense_start(spark):
     u, s, vt = np.linalg.svd(V, full_matrices=False)
     W = np.array([r.w for r in W.orderBy("doc").collect()])
     assert np.allclose(W[:, 0], np.sqrt(s[0]) * np.abs(u[:, 0]), atol=1e-6) and np.allclose(H[0], np.sqrt(s[0]) * np.abs(vt[0]), atol=1e-6)
+
+
+def test_binned_density_keeps_its_bound(spark):
+    import math
+    from caliper.operators import profile as A
+    r = np.random.default_rng(2)
+    x = np.concatenate([r.normal(size=400), 4 + r.normal(size=200) / 2])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    exact = [a.density for a in A.kde(df, "x", 50).collect()]
+    h = x.std(ddof=1) * len(x) ** -0.2
+    for bins in (40, 500):
+        d = (x.max() - x.min()) / bins
+        got = [a.density for a in A.kde(df, "x", 50, binned=True, n_bins=bins).collect()]
+        assert max(abs(a - b) for a, b in zip(got, exact)) <= d ** 2 / (8 * math.sqrt(2 * math.pi) * h ** 3)
+
+
+def test_cleaner_switches(spark):
+    from caliper.operators.stages import TextCleaner
+    df = spark.createDataFrame([("The CATS and Dogs run",)], "text string")
+    clean = lambda **kw: TextCleaner("text", "t", **kw).transform(df).first().t
+    assert clean(profile="topic", lowercase=False, removeStopwords=False) == ["The", "CATS", "and", "Dogs", "run"]
+    assert clean(profile="topic", lemmas={"cats": "cat", "dogs": "the"}) == ["cat", "run"]
+    assert clean(lemmas={"dogs": "dog"}) == ["cats", "dog", "run"]
+
+
+def test_grid_with_shared_features_equals_the_plain_search(spark):
+    from pyspark.ml import Pipeline
+    from caliper.operators.features import FeatureGrid, SmoothTfidf
+    rows = [(i, i % 3, float(i % 2), [f"w{j}" for j in range(12) if (i * 7 + j * (2 + i % 2)) % 5 < 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id int, fold int, label double, toks array<string>")
+    out = []
+    for make in (lambda t, c: Pipeline(stages=[t, c]), FeatureGrid):
+        tfidf, lr = SmoothTfidf("toks", "features"), M.logistic_regression(C=1.0, n_rows=40, max_iter=50)
+        grid = {tfidf.vocabSize: [12, 50], lr.regParam: [0.001, 0.1]}
+        cv = M.grid_search(make(tfidf, lr), grid, "fold", n_folds=3).fit(df)
+        out.append([(p["vocabSize"], p["regParam"], round(m, 6), round(s, 6)) for p, m, s in M.cv_summary(cv)])
+        assert cv.bestModel.transform(df).count() == 60
+    assert out[0] == out[1]
+
+
+def test_tfidf_keeps_terms_of_many_documents(spark):
+    """A ``maxDF`` of 1.0 is the share of all documents."""
+    from caliper.operators.features import SmoothTfidf
+    df = spark.createDataFrame([(["a", "b"],), (["a", "c"],), (["a"],)], "toks array<string>")
+    model = SmoothTfidf("toks", "v").fit(df)
+    assert sorted(model.stages[0].vocabulary) == ["a", "b", "c"]
+    first = model.transform(df).first().v
+    want = np.array([1.0, np.log(4 / 2) + 1])               # smoothed idf + 1 of a and b
+    assert sorted(first.values) == pytest.approx(sorted(want / np.linalg.norm(want)))
