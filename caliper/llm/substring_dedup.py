@@ -83,7 +83,8 @@ def parse(spark: SparkSession, docs: DataFrame, length: int = 35, gram: int = 16
     edge = P.repeated_windows(windows)
     both = matched.select("id", "rk", "m", F.lit(None).cast("int").alias("w")).unionByName(
         edge.select("id", "rk", F.lit(None).cast(matched.schema["m"].dataType).alias("m"), "w"))
-    return both.groupBy("id", "rk").agg(F.collect_list("m").alias("m"), F.collect_list("w").alias("w"))
+    # equal rows say the same: a set keeps the list as long as one of them, however many there are
+    return both.groupBy("id", "rk").agg(F.collect_set("m").alias("m"), F.collect_set("w").alias("w"))
 
 
 def _cut(length: int):

@@ -37,6 +37,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caliper.llm.passages import stored
 from caliper.session import scratch_path
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -211,7 +212,8 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, id_col: s
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"),
                         base32_sha1(payload).alias("digest"), F.octet_length(payload).alias("n"))
-    first = rows.groupBy("digest", "n").agg(F.max("id").alias("keep"))
+    # written, so that the join shuffles both sides and may split a payload that many pages share
+    first = stored(rows.groupBy("digest", "n").agg(F.max("id").alias("keep")), "payloads")
     marked = rows.join(first, ["digest", "n"]).withColumn(
         "revisit", ~F.col("id").eqNullSafe(F.col("keep")) & (F.col("n") >= min_revisit_bytes))
     marked = marked.select(F.col("id").cast("string").alias("id"), "url", "payload", "digest", F.col("keep").cast("string").alias("refers_to"), "revisit")

@@ -342,3 +342,21 @@ def test_empty_tables(spark):
     assert mixing.mix(spark, none).count() == 0
     assert bm25_search.top_k(spark, none, none).count() == 0
     assert bm25_search.top_k(spark, docs(spark), none).count() == 0
+
+
+def test_factors_of_equal_rows_grow_with_their_number(spark):
+    """Every copy lists the factors of one: four times the rows, four times the factors."""
+    text = prose(120, 77)
+    total = {}
+    for copies in (5, 20):
+        out = substring_dedup.dedup_substrings(spark, docs(spark, [(None, text)] * copies + [(1, prose(50, 78))])).collect()
+        assert all(r.n_removed == (120 if r.doc_id is None else 0) for r in out)
+        total[copies] = sum(len(r.factors) for r in out)
+    assert total[20] == 4 * total[5] > 0
+
+
+def test_archives_of_one_payload_in_half_of_the_pages(spark):
+    pages = spark.createDataFrame([(i, "http://a", "same" if i % 2 else str(i)) for i in range(200)], "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-split")
+    manifest = warc.write_archives(spark, pages, folder)
+    assert sum(r.records for r in manifest.collect()) == 200
