@@ -54,7 +54,12 @@ def discard(*tables: DataFrame) -> None:
         path = sc._jvm.org.apache.hadoop.fs.Path(t.stored_at)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
     if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        release(tables[0])
+
+
+def release(table: DataFrame) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished jobs: it does when the driver collects their plans."""
+    table.sparkSession.sparkContext._jvm.System.gc()
 
 
 def same_doc(a: DataFrame, b: DataFrame):
