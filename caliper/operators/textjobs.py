@@ -3,9 +3,9 @@
 Cost follows the vocabulary, not the corpus: distinct tokens are found by a
 ``groupBy`` (map-side combined), the per-token function runs once per
 distinct token in an Arrow-batched pandas UDF, and the ``(token, mapped)``
-table is joined back to the exploded tokens.  The join is a size-checked
-broadcast or, above the bound, a salted shuffle join, so a token holding a
-third of all occurrences is spread over many tasks.
+table is joined back to the exploded tokens.  The join is a
+broadcast under a bound known by construction; else adaptive execution decides
+by the measured size and splits a token that holds a third of all occurrences.
 """
 
 from __future__ import annotations

@@ -309,7 +309,7 @@ def _grid(spark, d, n_folds: int, vocab: list[int], grams: list[str], cs: list[f
     lr = M.logistic_regression(C=1.0, n_rows=n_train)
     pipe = FeatureGrid(tfidf, lr)
     grid = {tfidf.inputCol: grams, tfidf.vocabSize: vocab, lr.regParam: [M.refit_penalty(c, n_train) for c in cs]}
-    cv = M.grid_search(pipe, grid, "fold", parallelism=4, n_folds=n_folds)
+    cv = M.grid_search(pipe, grid, "fold", parallelism=8, n_folds=n_folds)
     rows = []
     for p, m, sd in M.cv_summary(cv.fit(d)):
         rows.append((p["inputCol"], int(p["vocabSize"]), round(1.0 / (p["regParam"] * n_train), 6), m, sd, m - 2 * sd, m + 2 * sd))
