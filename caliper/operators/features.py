@@ -194,7 +194,7 @@ class FeatureGrid(Estimator):
 
     ``fitMultiple`` fits and applies the features once for every distinct
     setting of the feature estimator's own parameters; the matrix is written,
-    and all settings of the classifier are fitted on it.  The models are plain
+    and all settings of the classifier are fitted on it by one ``fitMultiple``.  The models are plain
     ``PipelineModel``s, so a search over it equals one over a ``Pipeline``.
     """
 
@@ -217,8 +217,15 @@ class FeatureGrid(Estimator):
         model = dict(zip(distinct, (models[i] for i in range(len(distinct)))))
         # only the columns the classifier reads are written
         cols = [self.classifier.getOrDefault(p) for p in self.classifier.params if p.name in ("featuresCol", "labelCol", "weightCol") and self.classifier.isDefined(p)]
-        matrix = Shared(lambda name: stored(model[name].transform(dataset).select(*cols), "grid-matrix"))
-        return OnDemand(lambda i: PipelineModel([model[names[i]], self.classifier.copy(rest[i]).fit(matrix(names[i]))]), len(rest))
+        points = {name: [i for i, n in enumerate(names) if n == name] for name in distinct}
+
+        def fit(name) -> dict:
+            matrix = stored(model[name].transform(dataset).select(*cols), "grid-matrix")
+            fitted = dict(self.classifier.fitMultiple(matrix, [rest[i] for i in points[name]]))
+            return {i: fitted[j] for j, i in enumerate(points[name])}
+
+        fits = Shared(fit)
+        return OnDemand(lambda i: PipelineModel([model[names[i]], fits(names[i])[i]]), len(rest))
 
 
 def fit_tfidf(df: DataFrame, tokens_col: str, out_col: str = "features", vocab_size: int = 5000,

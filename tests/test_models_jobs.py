@@ -316,3 +316,46 @@ def test_tfidf_keeps_terms_of_many_documents(spark):
     first = model.transform(df).first().v
     want = np.array([1.0, np.log(4 / 2) + 1])               # smoothed idf + 1 of a and b
     assert sorted(first.values) == pytest.approx(sorted(want / np.linalg.norm(want)))
+
+
+def test_shared_logistic_equals_the_plain_one(spark, monkeypatch):
+    """Sparse and dense vectors, weights, nulls; a grid's penalties share passes and fit as each alone does."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    from caliper.operators import logistic as L
+    r, rows = np.random.default_rng(1), []
+    for i in range(200):
+        at, v = sorted(r.choice(12, 4, replace=False).tolist()), r.normal(size=4)
+        x = Vectors.sparse(12, at, v.tolist())
+        rows.append((x if i % 3 else Vectors.dense(x.toArray()), float(v.sum() + r.normal() > 0), float(1 + i % 3)))
+    df = spark.createDataFrame(rows, ["features", "label", "w"]).repartition(3).cache()
+    nulls = df.unionByName(df.limit(5).withColumn("label", F.lit(None).cast("double")))
+    e = L.RidgeLogistic(weightCol="w", tol=1e-9)
+    passes, whole = [], L.pass_over
+    monkeypatch.setattr(L, "pass_over", lambda m, t: passes.append(len(t)) or whole(m, t))
+    both = dict(e.fitMultiple(nulls, [{e.regParam: 0.01}, {e.regParam: 0.2}]))
+    assert max(passes) == 2 and len(passes) < 60
+    for i, reg in enumerate((0.01, 0.2)):
+        want = LogisticRegression(regParam=reg, standardization=False, tol=1e-12, maxIter=1000, weightCol="w").fit(df)
+        assert np.allclose(both[i].coefficients.toArray(), want.coefficients.toArray(), atol=1e-3)
+        assert abs(both[i].intercept - want.intercept) < 1e-3
+        assert both[i].transform(df).where("prediction = label").count() == want.transform(df).where("prediction = label").count()
+    monkeypatch.setattr(L, "DRIVER_BYTES", 0)               # sums added in a tree of tasks
+    tree = L.RidgeLogistic(weightCol="w", tol=1e-9, regParam=0.2).fit(df)
+    assert np.allclose(tree.coefficients.toArray(), both[1].coefficients.toArray(), atol=1e-6)
+    for bad in (df.where("false"), df.withColumn("w", F.lit(0.0))):
+        with pytest.raises(ValueError):
+            e.fit(bad)
+    with pytest.raises(ValueError):
+        L.RidgeLogistic(regParam=0.0).fit(df)
+
+
+def test_features_grid_hands_one_matrix_to_all_penalties(spark):
+    from caliper.operators.features import FeatureGrid, SmoothTfidf
+    from caliper.operators.logistic import RidgeLogistic
+    rows = [(i % 3, float(i % 2), [f"w{j}" for j in range(12) if (i * 7 + j * (2 + i % 2)) % 5 < 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "fold int, label double, toks array<string>")
+    tfidf = SmoothTfidf("toks", "features")
+    cv = M.grid_search(FeatureGrid(tfidf, RidgeLogistic(tol=1e-8)), {tfidf.vocabSize: [12, 50]}, "fold", n_folds=3).fit(df)
+    plain = M.grid_search(FeatureGrid(tfidf, M.logistic_regression(C=1.0, n_rows=100.0)), {tfidf.vocabSize: [12, 50]}, "fold", n_folds=3).fit(df)
+    assert [round(m, 3) for _, m, _ in M.cv_summary(cv)] == [round(m, 3) for _, m, _ in M.cv_summary(plain)]
