@@ -133,17 +133,15 @@ def records_json(spark, sf):
 
 @query("w1_stream_scoring", "W1 C1")
 def stream_scoring(spark, sf):
-    from pyspark.sql import types as T
     from caliper.plans.model_queries import _text_model
     from caliper.plans.common import labelled_docs
     from caliper.streaming.score_stream import score_available
     t = Tables(spark, sf)
     train = labelled_docs(t).select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
     model = _text_model(train, C=10.0, vocab=2000, ngram=(1, 1), profile="spam")
-    schema = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
-                           T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
-    return score_available(model, spark, sf, schema, F.concat_ws(":", "conv_id", "turn"),
-                           file_glob="conversations.parquet")
+    # one file or a folder of part files: the messages are the table's files
+    path = f"{sf.rstrip('/')}/conversations.parquet"
+    return score_available(model, spark, path, spark.read.parquet(path).schema, F.concat_ws(":", "conv_id", "turn"))
 
 
 # Sources and sinks: round trips through the shared checkpoint folder ------------------------

@@ -14,11 +14,17 @@ from pyspark.sql import types as T
 
 from caliper.operators.score import score_messages
 from caliper.session import scratch_path
+from caliper.sources.io import is_file
 
 
 def message_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt: str = "parquet",
                    file_glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file-source stream (new files in ``source_dir`` are new messages)."""
+    """A file-source stream (new files in ``source_dir`` are new messages).
+
+    A table that is a single file is streamed from the folder it lies in, by its name.
+    """
+    if not file_glob and is_file(spark, source_dir):
+        source_dir, file_glob = source_dir.rstrip("/").rsplit("/", 1)
     r = spark.readStream.schema(schema).format(fmt)
     if file_glob:
         r = r.option("pathGlobFilter", file_glob)
