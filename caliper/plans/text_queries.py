@@ -9,6 +9,7 @@ from caliper.functions.stopwords import ENGLISH, topic_stops
 from caliper.operators import features as FT
 from caliper.operators import profile as A
 from caliper.plans.common import R, WORD_RE
+from caliper.session import stored
 from caliper.plans.registry import Tables, query, sql_list
 
 
@@ -246,8 +247,8 @@ SELECT CAST(n AS BIGINT) AS n_docs, CAST((SELECT count(*) FROM vocab) AS BIGINT)
 def dtm_stats(spark, sf):
     t = Tables(spark, sf)
     n = t.documents.agg(F.count(F.lit(1))).scalar()
-    tf = topic_tf(t)
-    vocab = FT.fit_vocabulary(tf, n, max_features=5000, min_df=2, max_df=0.95)
+    tf = stored(topic_tf(t), "term-frequencies")            # texts are cleaned and counted once
+    vocab = stored(FT.fit_vocabulary(tf, n, max_features=5000, min_df=2, max_df=0.95), "vocabulary")
     kept = tf.join(F.broadcast(vocab.select("term")), on="term")  # vocabulary capped at 5000
     return FT.dtm_stats(kept, n, vocab.agg(F.count(F.lit(1))).scalar())
 
