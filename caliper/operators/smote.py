@@ -87,10 +87,22 @@ def _vectors(column) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.zeros((0, 1))
 
 
+ROWS = 256             # rows whose distances to all pivots are held at once
+OUT_ROWS = 8_192       # shipped rows that leave in one frame
+QUERY_ROWS = 16_384    # query rows that one task searches a piece for, on average over the slices
+
+
+def _parts(frames):
+    """The rows of ``frames``, at most ``ROWS`` at once: a row may leave once for every cell."""
+    for df in frames:
+        for a in range(0, len(df), ROWS):
+            yield df.iloc[a:a + ROWS]
+
+
 def _assign(cells, key: str):
     """``key, v, cell, radius``: rows with their nearest pivot (the first of equals)."""
     def run(frames):
-        for df in frames:
+        for df in _parts(frames):
             if len(df):
                 d = cells.value.distances(_vectors(df["v"]))
                 cell = d.argmin(1)
@@ -101,10 +113,12 @@ def _assign(cells, key: str):
 def _ship(cells, key: str):
     """``key, v, cell``: a query row for every further cell that may hold a nearer neighbour."""
     def run(frames):
-        for df in frames:
+        for df in _parts(frames):
             if len(df):
-                row, cell = np.nonzero(cells.value.near(_vectors(df["v"]), df["cell"].to_numpy(), df["reach"].to_numpy()))
-                yield pd.DataFrame({key: df[key].to_numpy()[row], "v": df["v"].to_numpy()[row], "cell": cell.astype(np.int32)})
+                rows, far = np.nonzero(cells.value.near(_vectors(df["v"]), df["cell"].to_numpy(), df["reach"].to_numpy()))
+                for a in range(0, len(rows), OUT_ROWS):
+                    row, cell = rows[a:a + OUT_ROWS], far[a:a + OUT_ROWS]
+                    yield pd.DataFrame({key: df[key].to_numpy()[row], "v": df["v"].to_numpy()[row], "cell": cell.astype(np.int32)})
     return run
 
 
@@ -146,9 +160,14 @@ def knn(query: DataFrame, ref: DataFrame, key: str, vec_col: str, k: int = 5, ex
     block = query.sparkSession.sparkContext.broadcast(cells)
     asked = stored(query.select(key, v).mapInPandas(_assign(block, key), f"{key} {kind}, v array<double>, cell int, radius double"), "knn-queries")
 
+    # a piece may be searched by all query rows: they come in slices, each beside a copy of the piece
+    slices = math.ceil(asked.count() / QUERY_ROWS)
+    at = ["cell", "piece", "slice"]
+
     def search(q: DataFrame) -> DataFrame:
-        r = rows.select(key, "v", "cell", "piece").groupBy("cell", "piece")
-        return q.select(key, "v", "cell", "piece").groupBy("cell", "piece").cogroup(r).applyInPandas(_nearest_in_block(key, k, exclude_self), out)
+        r = rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(max(0, slices - 1))))).select(key, "v", *at).groupBy(*at)
+        q = q.withColumn("slice", F.pmod(F.xxhash64(key, F.lit("slice")), F.lit(max(1, slices))).cast("int"))
+        return q.select(key, "v", *at).groupBy(*at).cogroup(r).applyInPandas(_nearest_in_block(key, k, exclude_self), out)
 
     order = [F.col("dist").asc(), F.col("nn_key").asc()]
     home = stored(top_k(search(asked.withColumn("piece", F.explode(F.sequence(F.lit(0), _pieces(cells) - 1)))), key, order, k), "knn-home")
