@@ -102,7 +102,8 @@ def permuted_copies(base: DataFrame, key: str, column: str, n_repeats: int, seed
     x = x.withColumn("_k2", F.concat_ws("|", F.col(key).cast("string"), "_pair"))
     shuffled = hash_rank(x, "_k2", class_col="_pair", seed=seed, rank_col="_spos")
     donor = base.select(F.col("pos").alias("_spos"), F.col(column).alias("_donor"))
-    return shuffled.join(donor, "_spos").withColumn(column, F.col("_donor")).drop("_k2", "_pair", "_spos", "_donor")
+    # a donor a row: joined by shuffle, never through the driver
+    return shuffled.join(donor.hint("merge"), "_spos").withColumn(column, F.col("_donor")).drop("_k2", "_pair", "_spos", "_donor")
 
 
 def permutation_importance(model, test: DataFrame, key: str, columns: Sequence[str], label_col: str = "label",
