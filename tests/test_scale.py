@@ -90,3 +90,29 @@ def test_partial_sums_leave_as_one_row_a_task(spark, monkeypatch):
     assert np.allclose(NMF._gram_times(df, Q), want)
     monkeypatch.setattr(NMF, "DRIVER_BYTES", 0)
     assert np.allclose(NMF._gram_times(df, Q), want)
+
+
+def test_boosting_on_feature_rows_equals_boosting_on_all_rows(spark):
+    from pyspark.ml import Pipeline
+    from caliper.operators import models as M
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(float(i % 7), "abc"[i % 3], float(i % 7 * (i % 3) + r.normal())) for i in range(300)], "n double, c string, label double")
+    stages, gbt = M.tabular_stages(["n"], ["c"]), M.gbt_regressor(10, 0.1, 3)
+    few, all_rows = M.fit_by_features(stages, gbt, df), Pipeline(stages=[*stages, gbt]).fit(df)
+    a, b = ([x.prediction for x in m.transform(df).orderBy("n", "c", "label").collect()] for m in (few, all_rows))
+    assert np.allclose(a, b)
+    assert [t.depth for t in few.stages[-1].trees] == [t.depth for t in all_rows.stages[-1].trees]
+
+
+def test_permuted_copies_are_not_broadcast(spark):
+    from caliper.operators import explain as XP
+    from caliper.operators.ranking import hash_rank
+    base = hash_rank(spark.range(50).withColumn("v", F.col("id") * 2), "id", rank_col="pos")
+    copies = XP.permuted_copies(base, "id", "v", 2)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = copies._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("SortMergeJoin") >= 3
+    assert copies.groupBy("rep").agg(F.sum("v").alias("s"), F.count("*").alias("n")).select("s", "n").distinct().collect() == [(2450, 50)]
