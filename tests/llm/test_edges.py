@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,6 +225,32 @@ URLS = [None, "", "no scheme", "http://a.NET/x?y", "https://Example.net/en/1#z",
         "x://a.org/fr/q/://", "http://example.net", "http://.net/", "a\nb://b.net/q", "http://example.net/EN/", "http://é.net/en/"]
 
 
+def test_bm25_sums_many_queries_at_once(monkeypatch):
+    """A run of queries is one sum over their postings, however the runs are cut, and equals term by term sums."""
+    import numpy as np
+    texts = [prose(30, i) for i in range(90)] + [None, ""]
+    part = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([0] * len(texts)), pa.array(texts)], ["id", "rk", "text"])
+    row = next(bm25_search._shards(4096)([part]))
+    df = next(bm25_search._shard_df([row])).to_pandas()
+    terms = next(bm25_search._query_terms([part.slice(0, 40)])).to_pandas().merge(df, on="term")
+    q = bm25_search.QueryBlock(terms, len(texts), 30.0, 1.0, 3)
+    shard = bm25_search.Shard({c: row.column(c)[0].as_py() for c in ("terms", "first", "docs", "tf", "size")} | {"ids": row.column("ids")[0].values}, q)
+    want = np.zeros((len(q), shard.n))
+    for i in range(len(q)):
+        for e in range(q.rare_first[i], q.rare_first[i + 1]):
+            at = int(np.flatnonzero(shard.terms == q.rare_term[q.rare_place[e]])[0])
+            some = slice(shard.first[at], shard.first[at + 1])
+            want[i, shard.docs[some]] += shard.impact[some] * q.rare_weight[e]
+    real, calls = np.bincount, []
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or real(*a, **k))
+    for run, most in ((1 << 16, 1), (500, len(q)), (1, len(q))):
+        monkeypatch.setattr(bm25_search, "RUN", run)
+        calls.clear()
+        assert np.allclose(shard._rare(q, 0, len(q)), want, rtol=1e-12, atol=0) and len(calls) <= most
+        assert np.allclose(shard._rare(q, 7, 19), want[7:19], rtol=1e-12, atol=0)
+        calls.clear()
+
+
 def test_bm25_query_blocks_are_bounded(spark, monkeypatch):
     made = []
     init = bm25_search.QueryBlock.__init__
