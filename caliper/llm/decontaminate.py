@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caliper.llm.passages import stored
-from caliper.llm.words import ALNUM, Words, multi_arange, packed, signed, slices, split_words
+from caliper.llm.words import ALNUM, Words, multi_arange, opened, packed, signed, slices, split_words
 
 SPAN = T.StructType().add("a", "long").add("b", "long")
 OUT = [T.StructField("n_words", T.LongType()), T.StructField("covered", T.ArrayType(SPAN)), T.StructField("items", T.ArrayType(T.StringType()))]
@@ -100,7 +100,7 @@ def _shingle_counts(cand, text_col):
         sizes = cand.value
         totals = {s: np.zeros(len(h), np.int64) for s, h in sizes.items()}
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, 1_000_000):
                 w = split_words(part.column(text_col), ALNUM, lower=True)
                 for s, known in sizes.items():
                     h, inside = w.ngrams(s)
@@ -114,11 +114,11 @@ def _shingle_counts(cand, text_col):
     return count
 
 
-def _find(index, id_cols, text_col):
+def _find(index, id_cols, text_col, within=None):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sl, prefixes = index.value
-        for batch in batches:
-            for part in slices(batch, text_col):
+        for batch in opened(batches, text_col, within):
+            for part in slices(batch, text_col, 1_000_000):
                 w = split_words(part.column(text_col), ALNUM, lower=True)
                 n_docs, doc = part.num_rows, w.doc()
                 covered: list[list] = [[] for _ in range(n_docs)]
@@ -180,13 +180,17 @@ def _item_slices(items: DataFrame, most: int) -> list[DataFrame]:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3,
                   slice_words: int = 2_000_000, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id_cols, n_words, n_hit, items, contaminated``."""
+                  item_id: str = "item_id", item_text: str = "text", within: str | None = None) -> DataFrame:
+    """Per row of ``docs``: ``id_cols, n_words, n_hit, items, contaminated``.
+
+    The text may be a field of a struct among ``id_cols``, ``within``; it then goes to the Python workers once, in there.
+    """
     items = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
     cut = _item_slices(items, 4 * slice_words)
-    d = docs.select(*dict.fromkeys([*id_cols, text_col]))
+    d = docs.select(*dict.fromkeys([*id_cols, *([] if within else [text_col])]))
+    text = F.col(within)[text_col] if within else F.col(text_col)
     if len(cut) > 1:                                      # rows with equal or null ids are kept apart by their text
-        d = d.withColumn("_text", F.struct(F.xxhash64(text_col), F.hash(text_col)))
+        d = d.withColumn("_text", F.struct(F.xxhash64(text), F.hash(text)))
     keys = (*id_cols, "_text") if len(cut) > 1 else id_cols
     schema = T.StructType([d.schema[c] for c in keys] + OUT)
     parts = []
@@ -196,10 +200,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
         if not len(sl.length) and k < len(cut) - 1:
             continue
         cand = spark.sparkContext.broadcast(sl.candidates())
-        counts = d.select(text_col).mapInArrow(_shingle_counts(cand, text_col), "s int, h long, n long") if len(sl.length) else None
+        counts = d.select(text.alias(text_col)).mapInArrow(_shingle_counts(cand, text_col), "s int, h long, n long") if len(sl.length) else None
         df = {(r.s, r.h): r.n for r in counts.groupBy("s", "h").agg(F.sum("n").alias("n")).collect()} if counts is not None else {}
         index = spark.sparkContext.broadcast((sl, sl.prefixes(df)))
-        parts.append(d.mapInArrow(_find(index, keys, text_col), schema).withColumn("_slice", F.lit(k)))
+        parts.append(d.mapInArrow(_find(index, keys, text_col, within), schema).withColumn("_slice", F.lit(k)))
     if len(parts) == 1:
         out = parts[0]
     else:

@@ -29,11 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caliper.llm.words import slices
+from caliper.llm.words import opened, slices
 
 UND = "und"
 #: ASCII letters lower-cased, other ASCII bytes as one space, other bytes as they are
@@ -91,8 +92,9 @@ def features(texts: pa.Array, dim: int) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
-def _rows(batch: pa.RecordBatch, text_col: str, most: int = 400) -> Iterator[pa.RecordBatch]:
-    for part in slices(batch, text_col):
+def _rows(batch: pa.RecordBatch, text_col: str, most: int = 100) -> Iterator[pa.RecordBatch]:
+    """Slices whose features, and the bytes' numbers they are counted from, take few MB (some 80 bytes a text byte)."""
+    for part in slices(batch, text_col, 500_000):
         for a in range(0, part.num_rows, most):
             yield part.slice(a, most)
 
@@ -126,16 +128,17 @@ def train(docs: DataFrame, sample_rows: int = 2400, dim: int = 4096, ridge: floa
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "key", "text"))
     sample = some.withColumn("nth", nth).where(F.col("nth") <= quota).select("lang", "text")
     table = sample.mapInArrow(_feature_rows("text", dim), "lang string, x binary").toArrow()
-    rows = sorted(zip(table.column("lang").to_pylist(), table.column("x").to_pylist()))
-    langs = sorted({r[0] for r in rows})
+    table = table.take(pc.sort_indices(table, [("lang", "ascending"), ("x", "ascending")])).combine_chunks()
+    rows = table.column("lang").to_pylist()
+    langs = sorted(set(rows))
     code = codewords(len(langs))
     if len(langs) < 2:
         return Model(langs, code, np.zeros((dim, 0)), dim)
     x = np.empty((len(rows), dim))
-    for i, r in enumerate(rows):
-        x[i] = np.frombuffer(r[1], np.float32)
+    for i, r in enumerate(table.column("x")):
+        x[i] = np.frombuffer(r.as_buffer(), np.float32)
     at = {lang: i for i, lang in enumerate(langs)}
-    y = code[[at[r[0]] for r in rows]]
+    y = code[[at[r] for r in rows]]
     del table, rows
     gram = x @ x.T
     gram[np.diag_indices(len(x))] += ridge
@@ -160,10 +163,10 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
-def _predictor(model, id_cols: list[str], text_col: str, gap: float):
+def _predictor(model, id_cols: list[str], text_col: str, gap: float, within: str | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        for batch in batches:
+        for batch in opened(batches, text_col, within):
             for part in _rows(batch, text_col):
                 known = np.array([bool(m.languages) and _has_letter(t) for t in part.column(text_col).to_pylist()], bool)
                 best, score, second = (decode(m, features(part.column(text_col), m.dim)) if m.languages
@@ -176,12 +179,15 @@ def _predictor(model, id_cols: list[str], text_col: str, gap: float):
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: Model, gap: float = 0.1, text_col: str = "text",
-            id_cols: list[str] | None = None) -> DataFrame:
-    """``id_cols`` of every row with ``lang_pred, score, ambiguous``."""
+            id_cols: list[str] | None = None, within: str | None = None) -> DataFrame:
+    """``id_cols`` of every row with ``lang_pred, score, ambiguous``.
+
+    The text may be a field of a struct among ``id_cols``, ``within``; it then goes to the Python workers once, in there.
+    """
     id_cols = id_cols or [c for c in docs.columns if c != text_col]
-    d = docs.select(*dict.fromkeys([*id_cols, text_col]))
+    d = docs.select(*dict.fromkeys([*id_cols, *([] if within else [text_col])]))
     schema = T.StructType([d.schema[c] for c in id_cols]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
-    return d.mapInArrow(_predictor(spark.sparkContext.broadcast(model), id_cols, text_col, gap), schema)
+    return d.mapInArrow(_predictor(spark.sparkContext.broadcast(model), id_cols, text_col, gap, within), schema)
 
 
 def held_out(doc_id: Column) -> Column:
