@@ -10,10 +10,10 @@ small gap to the second codeword flags the text as ambiguous.
 Training sample: labelled rows chosen by a hash of id and text, ``sample_rows``
 in all at most and equally many per language (all rows of a language that has
 fewer); only their feature rows
-(``dim`` numbers each) reach the driver, so its memory is bounded by
-``sample_rows * dim`` whatever the corpus.  The classifiers are ridge
-regressions solved at once in the sample's Gram matrix.  Prediction is a
-map-only pass over whole texts; the broadcast model has ``dim * bits`` numbers.
+(``dim`` numbers each) meet in one task, whose memory is bounded by
+``sample_rows * (dim + sample_rows)`` whatever the corpus.  The classifiers are ridge
+regressions solved at once in the sample's Gram matrix there; the driver gets their weights.
+Prediction is a map-only pass over whole texts; the broadcast model has ``dim * bits`` numbers.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 with one learned language every other text gets it; with none every text is
@@ -108,6 +108,29 @@ def _feature_rows(text_col: str, dim: int):
     return run
 
 
+def _fit(dim: int, ridge: float):
+    """All feature rows, in an order of their own -> the languages found and the weights of the bits of their codewords."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, pa.schema([("lang", pa.string()), ("x", pa.binary())]))
+        table = table.take(pc.sort_indices(table, [("lang", "ascending"), ("x", "ascending")])).combine_chunks()
+        rows = table.column("lang").to_pylist()
+        langs = sorted(set(rows))
+        code = codewords(len(langs))
+        weights = np.zeros((dim, 0))
+        if len(langs) > 1:
+            x = np.empty((len(rows), dim))
+            for i, r in enumerate(table.column("x")):
+                x[i] = np.frombuffer(r.as_buffer(), np.float32)
+            del table
+            at = {lang: i for i, lang in enumerate(langs)}
+            gram = x @ x.T
+            gram[np.diag_indices(len(x))] += ridge
+            weights = x.T @ np.linalg.solve(gram, code[[at[r] for r in rows]])
+        yield pa.RecordBatch.from_arrays([pa.array([langs], pa.list_(pa.string())), pa.array([weights.tobytes()], pa.binary())],
+                                         ["languages", "weights"])
+    return run
+
+
 def train(docs: DataFrame, sample_rows: int = 2400, dim: int = 4096, ridge: float = 0.05, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on labelled rows of ``docs`` (null texts and languages are left out)."""
@@ -127,23 +150,12 @@ def train(docs: DataFrame, sample_rows: int = 2400, dim: int = 4096, ridge: floa
     some = docs.where(place < limit).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), place.alias("place"), key.alias("key"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "key", "text"))
     sample = some.withColumn("nth", nth).where(F.col("nth") <= quota).select("lang", "text")
-    table = sample.mapInArrow(_feature_rows("text", dim), "lang string, x binary").toArrow()
-    table = table.take(pc.sort_indices(table, [("lang", "ascending"), ("x", "ascending")])).combine_chunks()
-    rows = table.column("lang").to_pylist()
-    langs = sorted(set(rows))
+    rows = sample.mapInArrow(_feature_rows("text", dim), "lang string, x binary")
+    fitted = rows.repartition(1).mapInArrow(_fit(dim, ridge), "languages array<string>, weights binary").collect()
+    langs = list(fitted[0].languages) if fitted else []
     code = codewords(len(langs))
-    if len(langs) < 2:
-        return Model(langs, code, np.zeros((dim, 0)), dim)
-    x = np.empty((len(rows), dim))
-    for i, r in enumerate(table.column("x")):
-        x[i] = np.frombuffer(r.as_buffer(), np.float32)
-    at = {lang: i for i, lang in enumerate(langs)}
-    y = code[[at[r] for r in rows]]
-    del table, rows
-    gram = x @ x.T
-    gram[np.diag_indices(len(x))] += ridge
-    alpha = np.linalg.solve(gram, y)
-    return Model(langs, code, x.T @ alpha, dim)
+    weights = np.frombuffer(fitted[0].weights).reshape(dim, -1) if code.size else np.zeros((dim, 0))
+    return Model(langs, code, weights, dim)
 
 
 def decode(model: Model, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

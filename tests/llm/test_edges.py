@@ -345,6 +345,20 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.predict(spark, d.where("lang = 'de'"), single, id_cols=["doc_id"]).collect()} == {"fr"}
 
 
+def test_language_id_is_fitted_in_a_task(spark, monkeypatch):
+    """pipeline: feature rows and their Gram matrix stay off the driver, which gets the weights only; these solve the ridge."""
+    rows = [(i, "ab"[i % 2], f"{prose(8, i)} {'xyz'[i % 2] * 9}") for i in range(40)]
+    d = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    solve = np.linalg.solve
+    with monkeypatch.context() as m:
+        m.setattr(np.linalg, "solve", lambda *a: pytest.fail("solved on the driver"))
+        m.setattr(type(d), "toArrow", lambda *a: pytest.fail("feature rows on the driver"))
+        model = language_id.train(d, sample_rows=80, dim=64, ridge=0.05)
+    x = language_id.features(pa.array([t for _, _, t in rows]), 64).astype(np.float32).astype(float)
+    y = model.code[[model.languages.index(lang) for _, lang, _ in rows]]
+    assert np.allclose(model.weights, x.T @ solve(x @ x.T + 0.05 * np.eye(40), y), atol=1e-6) and model.code.shape[1] == 1
+
+
 def test_language_id_keeps_every_language(spark):
     """Languages whose share of the sample is a row or two, and rows without ids, are in the model; the sample is bounded."""
     rows = [(i if i % 2 else None, f"l{i % 60}", f"{prose(8, i)} l{i % 60}") for i in range(6000)]
