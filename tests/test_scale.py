@@ -104,6 +104,41 @@ def test_boosting_on_feature_rows_equals_boosting_on_all_rows(spark):
     assert [t.depth for t in few.stages[-1].trees] == [t.depth for t in all_rows.stages[-1].trees]
 
 
+def test_bootstrap_sums_are_those_of_rows(spark):
+    from pyspark.ml.linalg import Vectors
+    from caliper.operators import models as M
+    sizes = [5, 40, 400]
+    df = spark.createDataFrame([(Vectors.dense([float(c), 0.5]), float(c) + (i % 2)) for c, n in enumerate(sizes) for i in range(n)], ["features", "label"])
+    rows = M.bootstrap_by_features(df.repartition(3), "features", "label", 300, 7).collect()
+    assert len({(r.tree, r.features) for r in rows}) == len(rows) and {r.tree for r in rows} == set(range(300))
+    for c, n in enumerate(sizes):
+        of_c = {r.tree: r for r in rows if r.features[0] == c}
+        w = np.array([of_c[t].weight if t in of_c else 0.0 for t in range(300)])
+        # Poisson: a bootstrap of rows; weights times a draw of the whole vector would have a variance of n * n
+        assert abs(w.mean() - n) < 6 * (n / 300) ** 0.5 and 0.6 < w.var() / n < 1.6
+        assert abs(np.mean([r.label for r in of_c.values()]) - (c + (n // 2) / n)) < 0.1
+
+
+def test_forest_on_feature_rows_is_like_the_forest_on_all_rows(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from caliper.operators import models as M
+    monkeypatch.setattr(M, "BOOTSTRAP_CELLS", 8)
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(float(i % 7), None if i % 50 == 0 else float(i % 3), float(i % 7 * (i % 3) + r.normal())) for i in range(2000)], "n double, c double, label double")
+    forest, seen = M.random_forest_regressor(12, 6), []
+    fit = M.DecisionTreeRegressor.fit
+    monkeypatch.setattr(M.DecisionTreeRegressor, "fit", lambda self, rows: seen.append(rows.count()) or fit(self, rows))
+    few = M.fit_forest_by_features(M.tabular_stages(["n", "c"], impute=True, bins=32), forest, df)
+    assert len(seen) == 12 and max(seen) <= 21
+    assert few.stages[-1].getNumTrees == 12 and max(t.depth for t in few.stages[-1].trees) <= 6
+    all_rows = Pipeline(stages=[*M.tabular_stages(["n", "c"], impute=True), forest]).fit(df)
+    a, b = ([x.prediction for x in p.orderBy("n", "c", "label").collect()] for p in (few.transform(df), all_rows.transform(df)))
+    assert np.allclose(a, b, atol=0.25)
+    assert np.allclose(few.stages[-1].featureImportances.toArray(), all_rows.stages[-1].featureImportances.toArray(), atol=0.03)
+    once = [x.prediction for x in M.predict_by_features(few, df).orderBy("n", "c", "label").collect()]
+    assert np.allclose(once, a)
+
+
 def test_permuted_copies_are_not_broadcast(spark):
     from caliper.operators import explain as XP
     from caliper.operators.ranking import hash_rank
