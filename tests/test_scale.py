@@ -139,6 +139,29 @@ def test_forest_on_feature_rows_is_like_the_forest_on_all_rows(spark, monkeypatc
     assert np.allclose(once, a)
 
 
+def test_boosted_classifier_on_bins_equals_boosting_on_all_rows(spark):
+    from pyspark.ml import Pipeline
+    from caliper.operators import models as M
+    r = np.random.default_rng(6)
+    xs = [*np.round(r.normal(size=900) * 50, 2), *[3.0] * 60]
+    df = spark.createDataFrame([(float(x), "abc"[i % 3], float(x + 20 * (i % 3) + 30 * r.normal() > 20)) for i, x in enumerate(xs)],
+                               "n double, c string, label double")
+    gbt, seen = M.gbt_classifier(10, 0.1, 3), []
+    fit = M.GBTClassifier.fit
+    try:
+        M.GBTClassifier.fit = lambda self, rows: seen.append(rows.count()) or fit(self, rows)
+        few = M.fit_by_features(M.tabular_stages(["n"], ["c"], bins=32), gbt, df)
+    finally:
+        M.GBTClassifier.fit = fit
+    assert seen and seen[0] <= 32 * 3 * 2
+    all_rows = Pipeline(stages=[*M.tabular_stages(["n"], ["c"]), gbt]).fit(df)
+    a, b = ([x.probability[1] for x in m.transform(df).orderBy("n", "c", "label").collect()] for m in (few, all_rows))
+    assert np.allclose(a, b)
+    odd = spark.createDataFrame([(1.0, 2.0), (None, float("nan")), (4.0, 2.0)], "a double, b double")
+    out = M.QuantileBins(["a", "b"]).fit(odd).transform(odd).collect()
+    assert [(r.a__bin, r.b__bin) for r in out] == [(0.0, 0.0), (None, None), (1.0, 0.0)]
+
+
 def test_permuted_copies_are_not_broadcast(spark):
     from caliper.operators import explain as XP
     from caliper.operators.ranking import hash_rank
