@@ -174,3 +174,18 @@ def test_permuted_copies_are_not_broadcast(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("SortMergeJoin") >= 3
     assert copies.groupBy("rep").agg(F.sum("v").alias("s"), F.count("*").alias("n")).select("s", "n").distinct().collect() == [(2450, 50)]
+
+
+def test_a_task_hands_on_one_row_a_feature_vector(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    from caliper.operators import models as M
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        df = spark.createDataFrame([(Vectors.dense([float(i % 6)]), 1.0) for i in range(200)], ["features", "label"]).repartition(2)
+        monkeypatch.setattr(M, "BOOTSTRAP_CELLS", 8)
+        partial, kind, plain = [], type(df), type(df).mapInArrow
+        monkeypatch.setattr(kind, "mapInArrow", lambda self, *a: partial.append(plain(self, *a)) or partial[-1])
+        M.bootstrap_by_features(df, "features", "label", 4, 7)
+        assert partial[0].count() == 12
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
