@@ -189,3 +189,35 @@ def test_a_task_hands_on_one_row_a_feature_vector(spark, monkeypatch):
         assert partial[0].count() == 12
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def _nmf_rows():
+    V = np.random.default_rng(6).random((50, 8)) * (np.random.default_rng(7).random((50, 8)) < 0.6)
+    return [(d, j, float(V[d, j])) for d in range(50) for j in range(8) if V[d, j] > 0], V
+
+
+def test_nmf_packs_its_matrix_once_for_all_fits(spark, monkeypatch):
+    from caliper.operators import nmf as NMF
+    rows, _ = _nmf_rows()
+    df, docs = spark.createDataFrame(rows, "doc_id long, idx int, v double"), spark.range(50).select(F.col("id").alias("doc_id"))
+    fit = {"max_iter": 10, "tol": 0.0, "init": "nndsvda", "l2_w": 0.1, "l2_h": 0.1}
+    alone = [NMF.fit_nmf(df, "doc_id", 8, k=k, docs=docs, **fit) for k in (2, 3)]
+    monkeypatch.setattr(NMF, "BLOCK_ROWS", 4)                    # several blocks a task
+    V, made = NMF.pack(df, "doc_id", docs), []
+    monkeypatch.setattr(NMF, "_blocks", lambda v: made.append(1))
+    for k, want in zip((2, 3), alone):
+        got = NMF.fit_nmf(V, "doc_id", 8, k=k, **fit)
+        assert np.allclose(got.H, want.H, atol=1e-8) and np.allclose([e for _, e in got.errors], [e for _, e in want.errors])
+        assert {r.doc_id: [round(x, 7) for x in r.w] for r in got.W.collect()} == {r.doc_id: [round(x, 7) for x in r.w] for r in want.W.collect()}
+    V.release()
+    assert not made
+
+
+def test_nmf_leaves_a_document_without_an_id_out_of_its_passes(spark):
+    from caliper.operators import nmf as NMF
+    rows, V = _nmf_rows()
+    df = spark.createDataFrame(rows + [(None, 0, 5.0)], "doc_id long, idx int, v double")
+    res = NMF.fit_nmf(df, "doc_id", 8, k=2, max_iter=30, tol=0.0)
+    W = {r.doc_id: np.array(r.w) for r in res.W.collect()}
+    assert None not in W and set(W) == {d for d, _, _ in rows}
+    assert np.linalg.norm(V - np.array([W.get(d, np.zeros(2)) for d in range(50)]) @ res.H) < 0.8 * np.linalg.norm(V)
