@@ -221,3 +221,76 @@ def test_nmf_leaves_a_document_without_an_id_out_of_its_passes(spark):
     W = {r.doc_id: np.array(r.w) for r in res.W.collect()}
     assert None not in W and set(W) == {d for d, _, _ in rows}
     assert np.linalg.norm(V - np.array([W.get(d, np.zeros(2)) for d in range(50)]) @ res.H) < 0.8 * np.linalg.norm(V)
+
+
+def _count_vectors(spark, n=300, terms=40):
+    from pyspark.ml.linalg import Vectors
+    rng = np.random.default_rng(8)
+    topics = rng.dirichlet(np.full(terms, 0.1), 3)
+    rows = []
+    for i in range(n):
+        c = rng.multinomial(rng.integers(0, 80), topics[i % 3] * 0.9 + topics[(i + 1) % 3] * 0.1)
+        rows.append((i, Vectors.sparse(terms, [(int(j), float(c[j])) for j in np.flatnonzero(c)])))
+    return spark.createDataFrame(rows, ["doc_id", "features"]).repartition(3)
+
+
+def test_gamma_functions():
+    import math
+    from caliper.operators import lda as LD
+    x = np.array([1e-3, 0.05, 0.7, 1.0, 3.3, 40.0, 1e5])
+    assert np.allclose(LD.lgamma(x), [math.lgamma(v) for v in x], rtol=1e-11, atol=1e-11)
+    h = 1e-4 * x
+    assert np.allclose(LD.digamma(x), (LD.lgamma(x + h) - LD.lgamma(x - h)) / (2 * h), rtol=1e-6)
+
+
+def test_extrapolated_mixtures_end_where_plain_steps_do(monkeypatch):
+    from caliper.operators import lda as LD
+    rng = np.random.default_rng(9)
+    B, C, alpha = rng.dirichlet(np.full(60, 0.2), 4).T, rng.poisson(3.0, (50, 60)).astype(float), np.full(4, 0.25)
+    start, steps = rng.gamma(100, 0.01, (50, 4)), []
+    whole = LD.digamma
+    monkeypatch.setattr(LD, "digamma", lambda x: steps.append(len(x)) or whole(x))
+    args = (np.tile(B, (50, 1, 1)) + 1e-6, C, alpha, start, 1e-9)
+    plain, n_plain = LD._mixtures(*args, rounds=0), sum(steps)
+    steps.clear()
+    assert np.allclose(LD._mixtures(*args), plain, atol=1e-5) and sum(steps) < 0.7 * n_plain
+    assert np.allclose(LD._mixtures(*args, rounds=2), plain, atol=1e-5)
+
+
+def test_lda_on_blocks_is_the_model_of_spark(spark, monkeypatch):
+    """Bound and mixtures of one model are those of ``pyspark.ml``, and so, near enough, is the fit."""
+    from pyspark.ml.clustering import LDA
+    from caliper.operators import lda as LD, models as M, topics as T
+    x = _count_vectors(spark)
+    monkeypatch.setattr(LD, "CELLS", 2000)                                   # several groups of documents a block
+    lda = M.online_lda(k=3, passes=20, subsampling_rate=0.5)
+    model = lda.fit(x)
+    theirs = LDA(k=3, optimizer="online", maxIter=40, subsamplingRate=0.5, learningOffset=50.0, learningDecay=0.7,
+                 optimizeDocConcentration=False, seed=42).fit(x)
+    for m in (model, theirs):
+        assert T.lda_perplexity(m, x) == pytest.approx(np.exp(m.logPerplexity(x)), rel=1e-3)
+    assert T.lda_perplexity(model, x) < 1.1 * T.lda_perplexity(theirs, x)                # draws differ
+    assert model.vocabSize() == 40 and model.getK() == 3 and model.describeTopics(5).count() == 3
+    got = {r.doc_id: r.distribution for r in T.lda_distribution(model, x, "doc_id").collect()}
+    weight, off = np.exp(LD._topic_weights(model.topicsMatrix().toArray())), []
+    for r in x.where("doc_id < 40").collect():
+        v = r.features
+        if len(v.indices):
+            g, _ = LD.infer(np.array([len(v.indices)]), v.indices.astype(np.int64), v.values, weight, np.full(3, 1 / 3), np.ones((1, 3)))
+            off.append(np.abs(g[0] / g[0].sum() - got[r.doc_id]).max())
+    assert np.median(off) < 0.02                                       # plain steps may end far from where they lead
+
+
+def test_topic_sweep_packs_its_vectors_once(spark, monkeypatch):
+    from caliper.operators import lda as LD
+    from caliper.plans import topic_queries as TQ
+    made, whole = [], LD.pack
+    monkeypatch.setattr(LD, "pack", lambda *a: made.append(1) or whole(*a))
+    assert [k for k, _, _ in TQ._sweep(_count_vectors(spark), (2, 3), passes=1)] == [2, 3] and len(made) == 1
+
+
+def test_null_count_vectors_are_refused(spark):
+    from caliper.operators import lda as LD
+    x = _count_vectors(spark, 10)
+    with pytest.raises(Exception, match="a count vector is null"):
+        LD.pack(x.select(F.when(F.col("doc_id") != 3, F.col("features")).alias("features")))
